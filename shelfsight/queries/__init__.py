@@ -1,0 +1,20 @@
+"""Queries over the given tables, by operator."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shelfsight.queries import sources_and_checks
+from shelfsight.queries.base import ORACLES, QUERIES, runner
+
+_ = (sources_and_checks,)
+
+
+def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: runner(name) for name in QUERIES}
+
+
+def all_sql() -> dict[str, str]:
+    return {name: text if isinstance(text, str) else text() for name, text in ORACLES.items()}
