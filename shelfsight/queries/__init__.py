@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfsight.queries import sources_and_checks
+from shelfsight.queries import silver_and_gold, sources_and_checks, spatial_and_model
 from shelfsight.queries.base import ORACLES, QUERIES, runner
 
-_ = (sources_and_checks,)
+_ = (silver_and_gold, sources_and_checks, spatial_and_model)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -92,9 +92,9 @@ def quarantine(t: Tables) -> DataFrame:
 
 @query("s11_poi_responses")
 def poi_responses(t: Tables) -> DataFrame:
-    """Responses per supplier district, saved as JSON lines and read back."""
+    """Responses of forty points each, saved as JSON lines and read back."""
     element = F.struct("lat", "lon", "center", "tags")
-    saved = t.poi.groupBy((F.col("poi_id") % 500).alias("k")).agg(F.collect_list(element).alias("elements"))
+    saved = t.poi.groupBy(F.floor(F.col("poi_id") / 40).alias("k")).agg(F.collect_list(element).alias("elements"))
     path = stage_path(t.spark, "poi_responses")
     files.write_json(saved.select(F.format_string("OUT_%d__500", "k").alias("key"), "elements"), path)
     read = files.read_poi_response_lines(t.spark, path)
