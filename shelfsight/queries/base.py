@@ -42,13 +42,13 @@ def runner(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6, **by_column: int) -> DataFrame:
     """Round all doubles, for comparing results of two engines."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, digits) + F.lit(0.0)
+            c = F.round(c, by_column.get(f.name, digits)) + F.lit(0.0)
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -73,14 +73,17 @@ def sql(final: str, *reads: str, doubles: str | list[str] = "", digits: int = 6)
 
 
 def assemble(final: str, *reads: str, doubles: str | list[str] = "", digits: int = 6) -> str:
-    """``final`` with the logical tables and blocks it reads in front, and its doubles rounded."""
+    """``final`` with the logical tables and blocks it reads in front, and its doubles rounded.
+
+    A double may carry its own number of digits: ``name:8``.
+    """
     names: list[str] = []
     for name in reads:
         names += [n for n in _build_order(name) if n not in names]
     ctes = ",\n".join(f"{n} AS ({_reads(n)[1].strip()})" for n in names)
-    columns = doubles.split() if isinstance(doubles, str) else doubles
+    columns = [d.partition(":") for d in (doubles.split() if isinstance(doubles, str) else doubles)]
     body = final.strip()
     if columns:
-        rounds = ", ".join(f'round("{c}", {digits}) + 0.0 AS "{c}"' for c in columns)
+        rounds = ", ".join(f'round("{c}", {own or digits}) + 0.0 AS "{c}"' for c, _, own in columns)
         body = f"SELECT * REPLACE ({rounds}) FROM ({body}) AS result"
     return f"WITH {ctes}\n{body}" if ctes else body

@@ -141,7 +141,9 @@ _WIDE = ",\n".join(
     for c in CATEGORIES
 )
 _TOTALS = ", ".join(f"count(*) FILTER (d <= {r}) AS poi_total_{r}m" for r in RADII)
-POI_DOUBLES = [f"poi_{m}_{c}_{r}m" for r in RADII for c in CATEGORIES for m in ("nearest", "access")]
+# The pulls are rounded by definition; only the distances need it for comparing.
+POI_DOUBLES = [f"poi_nearest_{c}_{r}m:4" for r in RADII for c in CATEGORIES]
+NEAREST_DIGITS = {name.partition(":")[0]: 4 for name in POI_DOUBLES}
 block(
     "poi_wide",
     "poi_pairs coordinates",
@@ -327,8 +329,8 @@ block(
     "headrooms steps",
     """
 SELECT *, CASE WHEN headroom > 0 THEN expected_incremental_liters / headroom ELSE 0 END AS headroom_captured_frac
-FROM (SELECT h.*, coalesce(s.steps, 0) * 5000.0 AS trade_spend_lkr,
-             headroom * (1 - exp(-0.000005 * (coalesce(s.steps, 0) * 5000.0))) AS expected_incremental_liters
+FROM (SELECT h.*, coalesce(s.steps, 0) * CAST(5000 AS DOUBLE) AS trade_spend_lkr,
+             headroom * (1 - exp(-0.000005 * (coalesce(s.steps, 0) * CAST(5000 AS DOUBLE)))) AS expected_incremental_liters
       FROM headrooms h LEFT JOIN steps s ON h.outlet_id = s.outlet_id) AS a""",
 )
 block(
@@ -354,7 +356,7 @@ SELECT f.outlet_id, f.province, f.distributor_id, outlet_type, outlet_size, lati
 FROM scored f LEFT JOIN factor_rows r ON f.outlet_id = r.outlet_id LEFT JOIN allocated a ON f.outlet_id = a.outlet_id""",
 )
 MASTER_DOUBLES = (
-    "hist_total_median hist_total_mean poi_accessibility saturation_index peer_ceiling constraint_uplift "
+    "hist_total_median hist_total_mean poi_accessibility:8 saturation_index peer_ceiling constraint_uplift "
     "spatial_multiplier mult_potential ensemble_potential divergence_pct headroom expected_incremental_liters "
     "headroom_captured_frac raw_factor_product"
 ).split()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfsight.operators import gold, silver
 from shelfsight.queries import prepared
 from shelfsight.queries.base import query, rounded, sql
-from shelfsight.queries.blocks import ONE_HOT, POI_DOUBLES, PROVINCE_SQL, ROLL_UP_DOUBLES, block
+from shelfsight.queries.blocks import NEAREST_DIGITS, ONE_HOT, POI_DOUBLES, PROVINCE_SQL, ROLL_UP_DOUBLES, block
 from shelfsight.queries.sources_and_checks import coordinates_result, outlets_result, transactions_result
 from shelfsight.session import stage
 from shelfsight.sources.adapters import TRANSACTION_ORDER, Tables
@@ -176,12 +176,11 @@ _FREE_MONTHS = [c for c in _ROLL_UP if c.startswith("unc_")]
         f"SELECT {', '.join(_ALL_MONTHS)} FROM roll_up",
         "roll_up",
         doubles=[c for c in ROLL_UP_DOUBLES.split() if not c.startswith("unc_")],
-        digits=4,
     ),
 )
 def g9(t: Tables) -> DataFrame:
     """From the lines to the outlets in one plan."""
-    return rounded(gold.roll_up(prepared.monthly_plan(t)).select(*_ALL_MONTHS), 4)
+    return rounded(gold.roll_up(prepared.monthly_plan(t)).select(*_ALL_MONTHS))
 
 
 @query(
@@ -202,12 +201,11 @@ def g10(t: Tables) -> DataFrame:
         "SELECT * FROM features",
         "features",
         doubles=["latitude", "longitude", *ROLL_UP_DOUBLES.split(), *POI_DOUBLES, "volume_cv", "max_to_mean_ratio"],
-        digits=4,
     ),
 )
 def g11(t: Tables) -> DataFrame:
     return rounded(
-        gold.outlet_features(prepared.outlet_master(t), prepared.monthly(t), prepared.poi_wide(t)), 4
+        gold.outlet_features(prepared.outlet_master(t), prepared.monthly(t), prepared.poi_wide(t)), **NEAREST_DIGITS
     )
 
 
@@ -261,11 +259,11 @@ FACTOR_DOUBLES = (
         f"SELECT outlet_id, {', '.join(FACTOR_DOUBLES.split())} FROM factored",
         "factored",
         doubles=FACTOR_DOUBLES,
-        digits=5,
+        digits=8,
     ),
 )
 def g16(t: Tables) -> DataFrame:
-    return rounded(prepared.factored(t).select("outlet_id", *FACTOR_DOUBLES.split()), 5)
+    return rounded(prepared.factored(t).select("outlet_id", *FACTOR_DOUBLES.split()), 8)
 
 
 @query(

@@ -11,7 +11,7 @@ from shelfsight.functions import quantiles
 from shelfsight.operators import geo, model, poi, quantile_regression, spatial
 from shelfsight.queries import prepared
 from shelfsight.queries.base import query, rounded, sql
-from shelfsight.queries.blocks import CATEGORY_SQL, POI_DOUBLES, blend_sql, case, distance, robust_z
+from shelfsight.queries.blocks import CATEGORY_SQL, NEAREST_DIGITS, POI_DOUBLES, blend_sql, case, distance, robust_z
 from shelfsight.sources.adapters import Tables
 
 _CENTRE = (6.9271, 79.8612)
@@ -80,8 +80,7 @@ def p5(t: Tables) -> DataFrame:
             FROM (SELECT *, {case("category", config.POI_SIGMA_M, "300.0")} AS sigma FROM poi_pairs WHERE d <= 500) AS p
             GROUP BY outlet_id, category""",
         "poi_pairs",
-        doubles="nearest_m access",
-        digits=4,
+        doubles="nearest_m:4 access",
     ),
 )
 def p6(t: Tables) -> DataFrame:
@@ -101,12 +100,12 @@ def p6(t: Tables) -> DataFrame:
         ]
     )
     found = t.coordinates.join(wide, ["latitude", "longitude"]).select("outlet_id", F.inline(rows)).where("n > 0")
-    return rounded(found, 4)
+    return rounded(found, nearest_m=4)
 
 
-@query("p7_poi_features", sql("SELECT * FROM poi_wide", "poi_wide", doubles=POI_DOUBLES, digits=4))
+@query("p7_poi_features", sql("SELECT * FROM poi_wide", "poi_wide", doubles=POI_DOUBLES))
 def p7(t: Tables) -> DataFrame:
-    return rounded(poi.poi_features(t.coordinates, t.poi), 4)
+    return rounded(poi.poi_features(t.coordinates, t.poi), **NEAREST_DIGITS)
 
 
 @query("p8_own_density", sql("SELECT * FROM own_density", "own_density"))
@@ -116,11 +115,11 @@ def p8(t: Tables) -> DataFrame:
 
 @query(
     "p9_accessibility",
-    sql("SELECT outlet_id, poi_accessibility FROM spatial_inputs", "spatial_inputs", doubles="poi_accessibility", digits=4),
+    sql("SELECT outlet_id, poi_accessibility FROM spatial_inputs", "spatial_inputs", doubles="poi_accessibility", digits=8),
 )
 def p9(t: Tables) -> DataFrame:
     f = prepared.features(t)
-    return rounded(f.select("outlet_id", spatial.accessibility(f).alias("poi_accessibility")), 4)
+    return rounded(f.select("outlet_id", spatial.accessibility(f).alias("poi_accessibility")), 8)
 
 
 @query(
@@ -158,11 +157,11 @@ def p12(t: Tables) -> DataFrame:
                   max(spatial_multiplier) AS multiplier_max FROM spatial""",
         "spatial",
         doubles="accessibility_median saturation_median multiplier_min multiplier_median multiplier_max",
-        digits=5,
+        digits=8,
     ),
 )
 def p13(t: Tables) -> DataFrame:
-    return rounded(spatial.spatial_report(prepared.factored(t)), 5)
+    return rounded(spatial.spatial_report(prepared.factored(t)), 8)
 
 
 # ---------------------------------------------------------------------------
@@ -346,7 +345,8 @@ def _spearman_sql(a: str, b: str) -> str:
     return f"""SELECT '{a}' AS a, '{b}' AS b, count(*) AS n, corr(ra, rb) AS rho FROM (
       SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2.0 AS ra,
              rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2.0 AS rb
-      FROM scored WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS r"""
+      FROM (SELECT round({a}, 6) AS {a}, round({b}, 6) AS {b} FROM scored) AS s
+      WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS r"""
 
 
 _PAIRS = [(a, b) for i, a in enumerate(model.ESTIMATORS) for b in model.ESTIMATORS[i + 1 :]]
@@ -357,7 +357,8 @@ _PAIRS = [(a, b) for i, a in enumerate(model.ESTIMATORS) for b in model.ESTIMATO
     sql(" UNION ALL ".join(_spearman_sql(a, b) for a, b in _PAIRS), "scored", doubles="rho"),
 )
 def m17(t: Tables) -> DataFrame:
-    return rounded(model.rank_agreement(prepared.scored(t)))
+    """Ranks depend on exact ties, so the estimates are rounded first."""
+    return rounded(model.rank_agreement(rounded(prepared.scored(t).select(*model.ESTIMATORS))))
 
 
 _BASE = blend_sql(0.4, 0.3, 0.3)

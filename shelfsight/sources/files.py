@@ -131,10 +131,21 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+# A file is hashed as one value, which Spark limits to 2 GiB.
+HASH_LIMIT_BYTES = 2_000_000_000
+
+
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """``path, bytes, sha256`` of every file; each file is hashed in its own task."""
+    """``path, bytes, sha256`` of every file; each file is hashed in its own task.
+
+    A larger file than a value can hold has no hash; export it in parts to get them.
+    """
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    small, large = F.col("length") <= HASH_LIMIT_BYTES, F.col("length") > HASH_LIMIT_BYTES
+    hashed = files.where(small).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return hashed.unionByName(
+        files.where(large).select("path", F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
+    )
 
 
 # ---------------------------------------------------------------------------
