@@ -11,7 +11,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfsight.operators.checks import FAILED_STEP, REASON, Step, find_check, tag_reason
+from shelfsight.operators.checks import FAILED_STEP, REASON, Step, find_check, is_row_local, tag_reason
 from shelfsight.operators import checks
 
 logger = logging.getLogger(__name__)
@@ -86,21 +86,29 @@ class CheckResult:
         )
 
 
-def _apply(step: Step, before: DataFrame, live: Column, number: int) -> DataFrame:
-    """Fold a step into the frame: rewrite live rows, then mark the bad ones."""
-    out = []
-    for name in before.columns:
-        if name in (FAILED_STEP, REASON):
-            continue
-        if name in step.updates:
-            out.append(F.when(live, step.updates[name]).otherwise(F.col(name)).alias(name))
-        else:
-            out.append(F.col(name))
-    out += [F.when(live, c).alias(n) for n, c in step.updates.items() if n not in before.columns]
-    hit = live & step.bad
-    reason = step.reason if step.replace_reason else tag_reason(F.col(REASON), step.reason)
-    out.append(F.when(hit, F.lit(number)).otherwise(F.col(FAILED_STEP)).alias(FAILED_STEP))
-    out.append(F.when(hit, reason).otherwise(F.col(REASON)).alias(REASON))
+def _mark(df: DataFrame, found: Sequence[tuple[int, Column]]) -> DataFrame:
+    """Note the first of these steps that a row fails, if it has not failed before.
+
+    The earlier verdict is used once in the new one, so a filter on the final
+    verdict can be pushed to the scan without growing on the way.
+    """
+    if not found:
+        return df
+    first = None
+    for number, bad in found:
+        first = F.when(bad, F.lit(number)) if first is None else first.when(bad, F.lit(number))
+    return df.withColumn(FAILED_STEP, F.coalesce(F.col(FAILED_STEP), first))
+
+
+def _rewrite(step: Step, before: Sequence[str], live: Column) -> DataFrame:
+    """The step's frame with its new values in rows that have passed so far."""
+    if not step.updates:
+        return step.frame
+    out = [
+        F.when(live, step.updates[n]).otherwise(F.col(n)).alias(n) if n in step.updates else F.col(n)
+        for n in step.frame.columns
+    ]
+    out += [F.when(live, c).alias(n) for n, c in step.updates.items() if n not in before]
     return step.frame.select(*out)
 
 
@@ -112,12 +120,29 @@ def run_checks(df: DataFrame, dataset: str, specs: Sequence[CheckSpec]) -> Check
             logger.warning("unknown check %r on dataset %r", spec.name, dataset)
         else:
             known.append(spec)
-    reason = F.col(REASON).cast("string") if REASON in df.columns else F.lit(None).cast("string")
-    tagged = df.withColumns({FAILED_STEP: F.lit(None).cast("int"), REASON: reason})
+    given = F.col(REASON).cast("string") if REASON in df.columns else F.lit(None).cast("string")
+    columns = [c for c in df.columns if c != REASON]
+    tagged = df.withColumns({FAILED_STEP: F.lit(None).cast("int"), REASON: given})
+    live = F.col(FAILED_STEP).isNull()
+    reasons, open_steps = [], []
     for number, spec in enumerate(known):
-        live = F.col(FAILED_STEP).isNull()
+        if not is_row_local(spec.name):
+            tagged, open_steps = _mark(tagged, open_steps), []
         step = find_check(spec.name)(tagged, live, **spec.params)
-        tagged = _apply(step, tagged, live, number)
+        reasons.append(step.reason if step.replace_reason else tag_reason(F.col(REASON), step.reason))
+        if is_row_local(spec.name):
+            open_steps.append((number, step.bad))
+            continue
+        before = tagged.columns
+        tagged = _mark(_rewrite(step, before, live), [(number, step.bad)]).drop(*step.helpers)
+        columns += [c for c in step.updates if c not in columns]
+    tagged = _mark(tagged, open_steps)
+    # A rejected row keeps the values it was rejected with, so its reason can be worded last.
+    worded = None
+    for number, reason in enumerate(reasons):
+        failed_here = F.col(FAILED_STEP) == number
+        worded = F.when(failed_here, reason) if worded is None else worded.when(failed_here, reason)
+    tagged = tagged.select(*columns, FAILED_STEP, (F.col(REASON) if worded is None else worded).alias(REASON))
     return CheckResult(dataset, known, tagged)
 
 
