@@ -35,7 +35,8 @@ def strip(x: Column) -> Column:
 
 
 def is_blank(x: Column) -> Column:
-    return x.isNull() | (strip(x) == "")
+    """Missing, or text without anything but white space."""
+    return x.isNull() | ~x.cast("string").rlike(r"(?U)\S")
 
 
 def not_nan(x: Column) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from shelfsight import config
 
-# Where a bronze row came from. Sorted by these three, rows are in file order:
-# the split offset orders the splits of a file, and the running number the rows of a split.
+# Where a bronze row came from: place of its file among the files by name, byte offset
+# of its split, running number. Sorted by the three, rows are in file order, and together
+# they identify a row. They are numbers, as they travel through every shuffle of the checks.
 INGEST_ORDER = ("_src_file", "_src_offset", "_src_row")
 
 _REPLACEMENT = "�"
@@ -45,12 +46,19 @@ def _scan_csv(spark: SparkSession, path: str, encoding: str, with_source: bool)
     )
     if not with_source:
         return df
-    return df.select(
+    columns = df.columns
+    names = sorted(df.inputFiles())
+    placed = df.select(
         "*",
-        F.col("_metadata.file_path").alias(INGEST_ORDER[0]),
+        F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias(INGEST_ORDER[1]),
         F.monotonically_increasing_id().alias(INGEST_ORDER[2]),
     )
+    # A row per file of the export; the planner knows its size and broadcasts it while small.
+    places = spark.createDataFrame(list(enumerate(names)), f"{INGEST_ORDER[0]} int, _name string")
+    joined = placed.join(places, F.col("_path") == F.col("_name"), "left")
+    known = F.coalesce(INGEST_ORDER[0], F.raise_error(F.concat(F.lit("file not listed: "), "_path")).cast("int"))
+    return joined.select(*[F.col(f"`{c}`") for c in columns], known.alias(INGEST_ORDER[0]), *INGEST_ORDER[1:])
 
 
 def read_csv_resilient(spark: SparkSession, path: str, with_source: bool = False) -> DataFrame:
