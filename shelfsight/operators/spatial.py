@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfsight import config
 from shelfsight.functions import quantiles, scalar as S
 from shelfsight.operators.geo import places, radius_join
+from shelfsight.session import stage
 
 # IQR of a standard normal distribution.
 _NORMAL_IQR = 1.349
@@ -51,37 +53,35 @@ def saturation(df: DataFrame, rules: config.SpatialRules = config.SPATIAL) -> Co
     return own + rules.shop_weight * F.coalesce(shops, F.lit(0.0))
 
 
-def robust_scales(df: DataFrame, values: Mapping[str, Column]) -> dict[str, tuple[Column, Column]]:
-    """Centre and scale of each value over the whole table, as scalar subqueries.
+def robust_scales(df: DataFrame, values: Mapping[str, Column]) -> dict[str, tuple[float, float]]:
+    """Centre and scale of each value over the whole table.
 
     Scale is IQR / 1.349; with an IQR of 0 the population standard deviation,
-    and 1 if that is 0 too.
+    and 1 if that is 0 too. This runs a job and brings back one row, as fitting
+    a scaler does: what is built on the numbers then reads its input once.
     """
-    quartiles = quantiles.global_quantiles(df, values, [0.25, 0.5, 0.75])
-    spread = df.agg(F.struct(*[F.stddev_pop(v).alias(n) for n, v in values.items()]).alias("s")).scalar()
+    quartiles = quantiles.quantile_row(df, values, [0.25, 0.5, 0.75]).first()
+    spread = df.agg(*[F.stddev_pop(S.not_nan(v)).alias(n) for n, v in values.items()]).first()
     out = {}
     for name in values:
-        q = quartiles.getField(name)
-        iqr = q.getItem(2) - q.getItem(0)
-        deviation = S.finite(F.nullif(spread.getField(name), F.lit(0.0)))
-        scale = F.when(iqr > 0, iqr / _NORMAL_IQR).otherwise(F.coalesce(deviation, F.lit(1.0)))
-        out[name] = (q.getItem(1), scale)
+        low, middle, high = quartiles[name] or (0.0, 0.0, 0.0)
+        scale = (high - low) / _NORMAL_IQR if high > low else spread[name] or 1.0
+        out[name] = (middle, scale if math.isfinite(scale) else 1.0)
     return out
 
 
 def with_robust_z(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     """A column per value: (value − median) / scale, 0 where the value is missing."""
     scales = robust_scales(df, values)
-    return df.withColumns(
-        {n: F.coalesce((v - scales[n][0]) / scales[n][1], F.lit(0.0)) for n, v in values.items()}
-    )
+    return df.withColumns({n: F.coalesce((v - scales[n][0]) / scales[n][1], F.lit(0.0)) for n, v in values.items()})
 
 
 def with_multiplier(df: DataFrame, rules: config.SpatialRules = config.SPATIAL) -> DataFrame:
     """``spatial_multiplier`` from ``poi_accessibility`` and ``saturation_index``.
 
     Both are compressed by log1p and standardised; the result is moved so that
-    the median outlet has 1, then clamped.
+    the median outlet has 1, then clamped. Two one-row jobs over the two columns
+    find the quartiles and that median, so ``df`` should be a written table.
     """
     logs = {
         "_z_access": F.log1p(S.clip(F.col("poi_accessibility"), low=0.0)),
@@ -89,12 +89,10 @@ def with_multiplier(df: DataFrame, rules: config.SpatialRules = config.SPATIAL)
     }
     z = with_robust_z(df, logs)
     raw = rules.access_beta * F.col("_z_access") - rules.saturation_beta * F.col("_z_saturation")
-    z = z.withColumn("_raw", raw)
-    middle = quantiles.global_median(z, F.col("_raw"))
+    middle = quantiles.quantile_row(z, {"raw": raw}, [0.5]).first()["raw"]
     low, high = rules.clamp
-    return z.withColumn("spatial_multiplier", S.clip(1.0 + (F.col("_raw") - middle), low, high)).drop(
-        "_z_access", "_z_saturation", "_raw"
-    )
+    moved = 1.0 + (raw - (middle[0] if middle else 0.0))
+    return z.withColumn("spatial_multiplier", S.clip(moved, low, high)).drop(*logs)
 
 
 def with_spatial_inputs(features: DataFrame, rules: config.SpatialRules = config.SPATIAL) -> DataFrame:
@@ -104,12 +102,8 @@ def with_spatial_inputs(features: DataFrame, rules: config.SpatialRules = config
 
 
 def with_spatial_factors(features: DataFrame, rules: config.SpatialRules = config.SPATIAL) -> DataFrame:
-    """Density, accessibility, saturation and multiplier.
-
-    The multiplier reads its input several times; hand in (or make, with
-    ``session.stage``) a written table rather than a long plan.
-    """
-    return with_multiplier(with_spatial_inputs(features, rules), rules)
+    """Density, accessibility, saturation and multiplier, with a written table in between."""
+    return with_multiplier(stage(with_spatial_inputs(features, rules), "spatial_inputs"), rules)
 
 
 def spatial_report(df: DataFrame) -> DataFrame:

@@ -33,6 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
+        # Small inputs, heavy work per row (distance joins): do not merge them into one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
