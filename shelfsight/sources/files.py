@@ -47,10 +47,11 @@ def _scan_csv(spark: SparkSession, path: str, encoding: str, with_source: bool)
     if not with_source:
         return df
     columns = df.columns
-    names = sorted(df.inputFiles())
+    # Local paths come with one slash here and three there.
+    names = sorted(re.sub(r"^file:/+", "file:/", n) for n in df.inputFiles())
     placed = df.select(
         "*",
-        F.col("_metadata.file_path").alias("_path"),
+        F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("_path"),
         F.col("_metadata.file_block_start").alias(INGEST_ORDER[1]),
         F.monotonically_increasing_id().alias(INGEST_ORDER[2]),
     )
