@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from shelfsight import config
 from shelfsight.queries.base import BLOCKS
+from shelfsight.sources.adapters import TRANSACTION_ORDER
 
 RADII = config.SPATIAL.radii_m
 CATEGORIES = config.POI_CATEGORIES
 
-_FIRST = "src_order, src_line, src_part, src_supp"
+_FIRST = ", ".join(TRANSACTION_ORDER)
 
 
 def block(name: str, reads: str, text: str) -> None:

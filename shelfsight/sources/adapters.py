@@ -18,8 +18,8 @@ from shelfsight import config
 
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings")
 
-# Row identity of the transactions; (order, line) alone is not unique in the data.
-TRANSACTION_ORDER = ("src_order", "src_line", "src_part", "src_supp")
+# Row identity of the transactions; fewer columns are not unique in the data.
+TRANSACTION_ORDER = ("src_order", "src_line", "src_part", "src_supp", "src_price", "src_ship")
 # Years are moved so that the order dates end in the year before the target month.
 YEAR_SHIFT = 24
 # Customers and parts per map tile, so that density stays the same at any scale.
@@ -72,7 +72,8 @@ SELECT {_OUTLET.format('o_custkey')} AS outlet_id,
        'SKU_' || lpad(CAST(l_partkey % 10 + 1 AS STRING), 2, '0') AS sku_id,
        CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN -l_quantity ELSE l_quantity END AS volume_liters,
        l_extendedprice AS total_bill_value,
-       l_orderkey AS src_order, l_linenumber AS src_line, l_partkey AS src_part, l_suppkey AS src_supp
+       l_orderkey AS src_order, l_linenumber AS src_line, l_partkey AS src_part, l_suppkey AS src_supp,
+       l_extendedprice AS src_price, l_shipdate AS src_ship
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
     ),
     "transactions_raw": (
@@ -83,7 +84,7 @@ SELECT CASE WHEN src_part % 211 = 0 THEN ' ' ELSE outlet_id END AS outlet_id,
        CASE WHEN src_part % 229 = 0 THEN 13 ELSE month END AS month,
        distributor_id, CASE WHEN src_part % 233 = 0 THEN NULL ELSE sku_id END AS sku_id,
        volume_liters, CASE WHEN src_part % 239 = 0 THEN NULL ELSE total_bill_value END AS total_bill_value,
-       src_order, src_line, src_part, src_supp
+       src_order, src_line, src_part, src_supp, src_price, src_ship
 FROM {transactions}""",
     ),
     "outlets": (
