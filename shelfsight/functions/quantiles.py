@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ACCURACY = 100_000
-_BUCKETS = 256
+_FANOUT = 64
 
 
 def _melt(df: DataFrame, metrics: Mapping[str, Column], keys: Sequence[str]) -> DataFrame:
@@ -147,19 +147,26 @@ def quantiles_by(
     )
 
 
-def counts_below(df: DataFrame, value: Column, buckets: int = _BUCKETS) -> DataFrame:
+def counts_below(df: DataFrame, value: Column, fanout: int = _FANOUT) -> DataFrame:
     """``v, n, below``: for each distinct value its count and how many rows are smaller.
 
     A total order over the table without a one-task window: distinct values go
-    to buckets between sketch bounds, the bucket totals (at most ``buckets + 1``
-    rows) are summed up, and each bucket is ordered by itself.
+    to ``fanout²`` buckets between sketch bounds, the bucket totals (one row per
+    bucket) are summed up, and each bucket is ordered by itself. A value finds
+    its bucket in two steps of ``fanout`` comparisons.
     """
     rows = df.select(value.cast("double").alias("v")).where("v is not null and not isnan(v)")
     distinct = rows.groupBy("v").agg(F.count("*").alias("n"))
-    cuts = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = distinct.agg(F.percentile_approx("v", cuts, F.lit(10_000)).alias("b")).scalar()
-    placed = distinct.withColumn("_bounds", bounds)
-    placed = placed.select("v", "n", F.size(F.filter("_bounds", lambda b: b < F.col("v"))).alias("_b"))
+    cuts = [i / fanout**2 for i in range(1, fanout**2)]
+    sketch = F.percentile_approx("v", F.array(*map(F.lit, cuts)), F.lit(10 * fanout**2))
+    coarse = F.transform(F.sequence(F.lit(1), F.lit(fanout - 1)), lambda i: F.col("b")[i * fanout - 1])
+    bounds = distinct.agg(sketch.alias("b")).select(F.struct(F.col("b").alias("fine"), coarse.alias("coarse")).alias("s"))
+    placed = distinct.withColumn("_bounds", bounds.scalar())
+    placed = placed.withColumn("_c", F.size(F.filter("_bounds.coarse", lambda b: b < F.col("v"))))
+    near = F.slice("_bounds.fine", F.col("_c") * fanout + 1, F.lit(fanout - 1))
+    placed = placed.select(
+        "v", "n", (F.col("_c") * fanout + F.size(F.filter(near, lambda b: b < F.col("v")))).alias("_b")
+    )
     totals = placed.groupBy(F.col("_b").alias("_tb")).agg(F.sum("n").alias("_tn"))
     running = Window.orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("_tb", F.coalesce(F.sum("_tn").over(running), F.lit(0)).alias("_base"))

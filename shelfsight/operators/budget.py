@@ -9,7 +9,7 @@ in value, which makes "give the next step to the best outlet" the same as
 from __future__ import annotations
 
 import math
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfsight import config
 from shelfsight.functions import quantiles, scalar as S
@@ -88,7 +88,7 @@ def _steps_by_threshold(
     Looks for a gain above which fewer than ``total`` steps lie, so few fewer
     that the rest is a small top-N. Each round counts the steps above many
     candidate gains in one aggregate. Steps at (nearly) the same gain can leave
-    the rest large; it is then ranked by a distributed running count.
+    the rest large; see :func:`_first_by_gain`.
     """
     bounds = df.agg(F.max("headroom").alias("high"), F.min("headroom").alias("low"), F.count("*").alias("n")).first()
     if bounds.n == 0 or bounds.n * per_outlet <= total:
@@ -123,7 +123,7 @@ def _steps_by_threshold(
     if rest <= top_n_limit:
         more = between.orderBy(F.col("_gain").desc(), "outlet_id", "_nth").limit(rest)
     else:
-        more = _first_by_gain(between, rest)
+        more = _first_by_gain(between, rest, top_n_limit)
     more = more.groupBy("outlet_id").agg(F.count("*").alias("_more"))
     return (
         sure.select("outlet_id", "_sure")
@@ -133,24 +133,50 @@ def _steps_by_threshold(
     )
 
 
-def _first_by_gain(steps: DataFrame, n: int) -> DataFrame:
+def _first_by_gain(steps: DataFrame, n: int, top_n_limit: int) -> DataFrame:
     """The ``n`` best steps when they are too many for a top-N.
 
-    Whole gain values are taken while they fit. Of the one value that does not,
-    the smaller ids are taken by a running count over id ranges.
+    Whole gain values are taken while they fit. One value may not: of its steps
+    the smaller ids are taken (:func:`_first_by_id`).
     """
     below = quantiles.counts_below(steps, -F.col("_gain"))
-    placed = steps.join(below.select((-F.col("v")).alias("_g"), F.col("n").alias("_ties"), "below"), F.col("_gain") == F.col("_g"))
-    whole = placed.where(F.col("below") + F.col("_ties") <= n)
-    split = placed.where((F.col("below") < n) & (F.col("below") + F.col("_ties") > n))
-    ranges = split.select("outlet_id", "_nth", "below", F.substring("outlet_id", 1, 8).alias("_range"))
-    sizes = ranges.groupBy("_range", "below").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select(F.col("_range").alias("_r"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_range").orderBy("outlet_id", "_nth")
-    ranked = ranges.join(sizes, F.col("_range") == F.col("_r")).withColumn("_at", F.row_number().over(inside))
-    part = ranked.where(F.col("below") + F.col("_before") + F.col("_at") <= n)
-    return whole.select("outlet_id", "_nth").unionByName(part.select("outlet_id", "_nth"))
+    last = below.where(F.col("below") < n).orderBy(F.col("below").desc()).first()
+    gain, before, ties = -last.v, last.below, last.n
+    whole = steps.where(F.col("_gain") > gain).select("outlet_id", "_nth")
+    at_gain = steps.where(F.col("_gain") == gain).select("outlet_id", "_nth")
+    if before + ties <= n:
+        return whole.unionByName(at_gain)
+    return whole.unionByName(_first_by_id(at_gain, n - before, top_n_limit))
+
+
+def _first_by_id(steps: DataFrame, n: int, top_n_limit: int) -> DataFrame:
+    """The ``n`` steps with the smallest ids.
+
+    Follows the ids two characters at a time: a round counts the steps per next
+    pair of characters (few rows) and goes on in the one pair that does not fit
+    as a whole, until the rest is a small top-N.
+    """
+    taken = F.lit(False)
+    prefix, left = "", n
+    inside = steps
+    while left > top_n_limit:
+        at = len(prefix) + 1
+        pairs = inside.groupBy(F.substring("outlet_id", at, 2).alias("p")).agg(F.count("*").alias("c")).orderBy("p").collect()
+        if len(pairs) == 1 and len(pairs[0].p) < 2:
+            break
+        for pair in pairs:
+            if pair.c > left:
+                break
+            taken = taken | F.col("outlet_id").startswith(prefix + pair.p) if len(pair.p) == 2 else taken | (
+                F.col("outlet_id") == prefix + pair.p
+            )
+            left -= pair.c
+        else:
+            return steps
+        prefix += pair.p
+        inside = steps.where(F.col("outlet_id").startswith(prefix))
+    rest = inside.orderBy("outlet_id", "_nth").limit(left)
+    return steps.where(taken).unionByName(rest)
 
 
 def lift(headroom: Column, spend: Column, k: float = config.BUDGET.k) -> Column:

@@ -97,6 +97,16 @@ def ceiling_column(columns: Sequence[str]) -> str:
     raise ValueError("no column to take a peer ceiling from")
 
 
+def bounded_cluster(rules: config.ModelRules = config.MODEL) -> Column:
+    """The cluster id, an error where it is not one of the configured number of clusters.
+
+    This is what makes the tables with a row per cluster small enough to broadcast.
+    """
+    c = F.col("peer_cluster")
+    wrong = F.raise_error(F.concat(F.lit(f"peer_cluster not below {rules.clusters}: "), c.cast("string"))).cast("int")
+    return F.when(c.isNull() | c.between(0, rules.clusters - 1), c.cast("int")).otherwise(wrong)
+
+
 def with_peer_ceiling(features: DataFrame, rules: config.ModelRules = config.MODEL) -> DataFrame:
     """``peer_ceiling`` given ``peer_cluster``: the cluster's high quantile, scaled by relative size.
 
@@ -104,6 +114,7 @@ def with_peer_ceiling(features: DataFrame, rules: config.ModelRules = config.MOD
     gathering it. There are as many clusters as configured, so the small table
     of cluster values is broadcast.
     """
+    features = features.withColumn("peer_cluster", bounded_cluster(rules))
     size = "hist_total_median" if "hist_total_median" in features.columns else "hist_total_mean"
     wanted = {"_peer_q": (F.col(ceiling_column(features.columns)), rules.peer_quantile)}
     if size in features.columns:
@@ -166,6 +177,7 @@ def with_multiplicative(features: DataFrame, rules: config.ModelRules = config.M
     df = features.withColumns({"_own": own, "_product": F.coalesce(S.finite(product), own)})
     value = F.greatest(F.col("_product"), F.col("_own"))
     if "peer_cluster" in features.columns:
+        df = df.withColumn("peer_cluster", bounded_cluster(rules))
         top = df.groupBy("peer_cluster").agg(F.max("_own").alias("_top"))
         df = df.join(F.broadcast(top), "peer_cluster", "left")
         value = F.greatest(F.least(value, F.col("_top") * rules.cap_over_cluster_max), F.col("_own"))

@@ -100,12 +100,7 @@ def ingest(spark: SparkSession, layout: Layout, sources: Mapping[str, str] = con
             logger.warning("no source file for %s: %s", name, source)
             entries.append((name, source, None, None, None, None, "MISSING"))
             continue
-        raw = files.read_csv_resilient(spark, source, with_source=True)
-        table = files.canonicalise(raw)
-        files.write_parquet(table, target)
-        rows = spark.read.parquet(target).count()
-        original = [c for c in raw.columns if c not in files.INGEST_ORDER]
-        canonical = [c for c in table.columns if c not in files.INGEST_ORDER]
+        original, canonical, rows = files.ingest_csv(spark, source, target)
         entries.append((name, source, target, rows, original, canonical, "OK"))
     manifest = spark.createDataFrame(
         entries,

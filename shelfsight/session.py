@@ -59,8 +59,20 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_STAGED: list[str] = []
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/shelfsight/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/shelfsight/{name}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the stage tables this process has written. Frames over them cannot be read any more."""
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

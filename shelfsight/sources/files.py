@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from shelfsight import config
 
@@ -62,24 +62,48 @@ def _scan_csv(spark: SparkSession, path: str, encoding: str, with_source: bool)
     return joined.select(*[F.col(f"`{c}`") for c in columns], known.alias(INGEST_ORDER[0]), *INGEST_ORDER[1:])
 
 
+def _undecodable(df: DataFrame) -> Column:
+    """Rows with bytes that were not UTF-8: such bytes arrive as U+FFFD instead of failing."""
+    broken = F.lit(any(_REPLACEMENT in c for c in df.columns))
+    for c in df.columns:
+        if c not in INGEST_ORDER:
+            broken = broken | F.coalesce(F.col(f"`{c}`").contains(_REPLACEMENT), F.lit(False))
+    return broken
+
+
 def read_csv_resilient(spark: SparkSession, path: str, with_source: bool = False) -> DataFrame:
     """CSV with a header, all columns as text, missing tokens as NULL.
 
-    Bytes that are not UTF-8 arrive as U+FFFD instead of failing; if there are
-    any, the file is read again as Latin-1. The test stops at the first hit.
-    A byte-order mark is dropped by the reader.
+    Read as UTF-8, or as Latin-1 when any byte is not UTF-8. Finding that out
+    takes a pass that stops at the first hit; :func:`ingest_csv` does without. A
+    byte-order mark is dropped by the reader.
     """
     df = _scan_csv(spark, path, "UTF-8", with_source)
-    texts = [c for c in df.columns if c not in INGEST_ORDER]
-    bad_name = any(_REPLACEMENT in c for c in texts)
-    broken = F.lit(False)
-    for c in texts:
-        broken = broken | F.coalesce(F.col(f"`{c}`").contains(_REPLACEMENT), F.lit(False))
-    if bad_name or not df.where(broken).isEmpty():
+    if not df.where(_undecodable(df)).isEmpty():
         df = _scan_csv(spark, path, "ISO-8859-1", with_source)
     return missing_to_null(df)
 
 
+def ingest_csv(spark: SparkSession, path: str, target: str) -> tuple[list[str], list[str], int]:
+    """CSV to parquet with canonical names and the ingest order; returns old and new names and the row count.
+
+    Rows and undecodable rows are counted while the table is written, so a clean
+    export is read once. One that is not UTF-8 is written again from Latin-1.
+    """
+    for encoding in ("UTF-8", "ISO-8859-1"):
+        raw = _scan_csv(spark, path, encoding, True)
+        seen = Observation()
+        counted = raw.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.count_if(_undecodable(raw)).alias("undecodable")
+        )
+        table = canonicalise(missing_to_null(counted))
+        write_parquet(table, target)
+        if not seen.get["undecodable"]:
+            break
+    shown = [[c for c in df.columns if c not in INGEST_ORDER] for df in (raw, table)]
+    return shown[0], shown[1], seen.get["rows"]
+
+
 def slug(name: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", name.strip().lower()).strip("_")
 

@@ -49,7 +49,7 @@ def test_counts_below_and_ranks(spark):
     rng = random.Random(3)
     values = [float(rng.randint(0, 40)) for _ in range(500)] + [rng.random() * 40 for _ in range(500)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    for r in Q.counts_below(df, F.col("v"), buckets=16).collect():
+    for r in Q.counts_below(df, F.col("v"), fanout=4).collect():
         assert r.below == sum(x < r.v for x in values) and r.n == values.count(r.v)
     ranks = {r.v: r["rank"] for r in Q.average_ranks(df, F.col("v")).collect()}
     first = min(values)

@@ -17,6 +17,16 @@ def test_csv_encodings_and_missing_tokens(spark, tmp_path):
     assert rows(files.read_csv_resilient(spark, str(tmp_path / "latin.csv"))) == [("café", None)]
 
 
+def test_ingest_writes_once_and_falls_back(spark, tmp_path):
+    (tmp_path / "utf.csv").write_text("Store ID,Qty\na,1\nb,NA\n")
+    (tmp_path / "latin.csv").write_bytes("Store ID,Qty\ncafé,1\n".encode("latin-1"))
+    out = str(tmp_path / "out")
+    assert files.ingest_csv(spark, str(tmp_path / "utf.csv"), out) == (["Store ID", "Qty"], ["outlet_id", "volume_liters"], 2)
+    assert rows(spark.read.parquet(out), "outlet_id", "volume_liters", "_src_file") == [("a", "1", 0), ("b", None, 0)]
+    files.ingest_csv(spark, str(tmp_path / "latin.csv"), out)
+    assert rows(spark.read.parquet(out), "outlet_id") == [("café",)]
+
+
 def test_ingest_order_is_file_order(spark, tmp_path):
     for f in range(3):
         (tmp_path / f"part-{f}.csv").write_text("v\n" + "".join(f"{f * 1000 + i}\n" for i in range(500)))
