@@ -94,3 +94,58 @@ def places(df: DataFrame, lat: str, lon: str, *more: str, count: str = "n") -> D
     """Distinct positions with the number of rows at each."""
     located = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     return located.groupBy(lat, lon, *more).agg(F.count("*").alias(count))
+
+
+def densest_cell(spots: DataFrame, lat: str, lon: str, radius_m: float) -> int:
+    """Most distinct positions in one grid cell of the radius."""
+    cells = spots.select(_row(F.col(lat), radius_m).alias("_r"), F.col(lon).alias("_lon"))
+    cells = cells.select("_r", _cell(F.col("_r"), F.col("_lon"), radius_m).alias("_c"))
+    return cells.groupBy("_r", "_c").count().agg(F.max("count")).first()[0] or 0
+
+
+def counts_within(spots: DataFrame, lat: str, lon: str, n: str, radius_m: float, parts: int = 8) -> DataFrame:
+    """``lat, lon, within``: rows (``n`` of them per spot) within the radius of each spot, itself included.
+
+    For crowded places. Spots are summed up in small cells, ``parts`` to a radius
+    in each direction, and it is the cells that are paired: their number depends
+    on the area, not on the rows. Two cells that lie within the radius as a whole
+    count as a whole, however many spots they hold. Only spots of cells at the
+    rim, where the bounds on their distance leave it open, are paired one by one.
+    """
+    height = _row_height(radius_m) / parts
+    row = F.floor(F.col(lat) / height).cast("long")
+
+    def width(r: Column) -> Column:
+        return F.lit(height) / F.greatest(F.cos(F.radians((r + 0.5) * height)), F.lit(0.05))
+
+    placed = spots.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(lat, lon, n, row.alias("_r"))
+    placed = placed.withColumn("_c", F.floor(F.col(lon) / width(F.col("_r"))).cast("long"))
+    low = F.least(F.abs(F.col("_r")), F.abs(F.col("_r") + 1)) * height
+    # No point of a cell is further from its middle: half the height plus half the width at its widest.
+    reach = config.EARTH_RADIUS_M * (
+        F.radians(F.lit(height)) / 2 + F.cos(F.radians(low)) * F.radians(width(F.col("_r"))) / 2
+    )
+    cells = placed.groupBy("_r", "_c").agg(F.sum(n).alias("_n")).select(
+        "_r",
+        "_c",
+        "_n",
+        ((F.col("_r") + 0.5) * height).alias("_lat"),
+        ((F.col("_c") + 0.5) * width(F.col("_r"))).alias("_lon"),
+        reach.alias("_reach"),
+    )
+    others = cells.select(*[F.col(c).alias(f"{c}2") for c in cells.columns])
+    widest = radius_m + 3 * config.EARTH_RADIUS_M * math.radians(height)
+    near = radius_join(cells, others, widest, ("_lat", "_lon"), ("_lat2", "_lon2"))
+    slack = F.col("_reach") + F.col("_reach2")
+    inside = F.col("distance_m") + slack <= radius_m * (1 - 1e-9)
+    outside = F.col("distance_m") - slack > radius_m * (1 + 1e-9)
+    whole = near.where(inside).groupBy("_r", "_c").agg(F.sum("_n2").alias("_whole"))
+    rim = near.where(~inside & ~outside).select("_r", "_c", "_r2", "_c2")
+    partner = placed.select(
+        F.col(lat).alias("_lat2"), F.col(lon).alias("_lon2"), F.col(n).alias("_n2"), F.col("_r").alias("_r2"), F.col("_c").alias("_c2")
+    )
+    distance = haversine_m(F.col(lat), F.col(lon), F.col("_lat2"), F.col("_lon2"))
+    single = placed.join(rim, ["_r", "_c"]).join(partner, ["_r2", "_c2"]).where(distance <= radius_m)
+    single = single.groupBy(lat, lon).agg(F.sum("_n2").alias("_single"))
+    total = F.coalesce("_whole", F.lit(0)) + F.coalesce("_single", F.lit(0))
+    return placed.join(whole, ["_r", "_c"], "left").join(single, [lat, lon], "left").select(lat, lon, total.alias("within"))

@@ -113,6 +113,12 @@ def p8(t: Tables) -> DataFrame:
     return spatial.with_own_density(t.coordinates).select("outlet_id", "own_network_density")
 
 
+@query("p8_own_density_crowded", sql("SELECT * FROM own_density", "own_density"))
+def p8_crowded(t: Tables) -> DataFrame:
+    """The same by the method for crowded places."""
+    return spatial.with_own_density(t.coordinates, crowded=0).select("outlet_id", "own_network_density")
+
+
 @query(
     "p9_accessibility",
     sql("SELECT outlet_id, poi_accessibility FROM spatial_inputs", "spatial_inputs", doubles="poi_accessibility", digits=8),

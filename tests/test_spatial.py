@@ -117,12 +117,28 @@ def test_features_from_responses(spark, frame, tmp_path):
     assert (out["b"].poi_total_500m, out["b"].poi_nearest_shop_500m) == (0, None)
 
 
-def test_own_density(frame):
+@pytest.mark.parametrize("lat0", [0.0, 7.0, -60.0])
+@pytest.mark.parametrize("parts", [2, 8])
+def test_counts_within_equals_brute_force(spark, lat0, parts):
+    rng = random.Random(parts)
+    # A crowd in a small place, more around it, some at one spot.
+    deg = math.degrees(500 / config.EARTH_RADIUS_M)
+    points = [(lat0 + rng.gauss(0, deg / 3), rng.gauss(0, deg / 3)) for _ in range(150)]
+    points += [(lat0 + rng.uniform(-2, 2) * deg, rng.uniform(-4, 4) * deg) for _ in range(150)]
+    points += [points[0]] * 5
+    df = spark.createDataFrame(points, "latitude double, longitude double")
+    spots = geo.places(df, "latitude", "longitude")
+    got = {(r.latitude, r.longitude): r.within for r in geo.counts_within(spots, "latitude", "longitude", "n", 500.0, parts).collect()}
+    assert got == {p: sum(metres(*p, *q) <= 500.0 for q in points) for p in points}
+
+
+@pytest.mark.parametrize("crowded", [0, spatial.CROWDED])
+def test_own_density(frame, crowded):
     df = frame(
         "outlet_id string, latitude double, longitude double",
         ("a", 7.0, 80.0), ("b", 7.0, 80.0), ("c", 7.003, 80.0), ("d", 8.0, 80.0), ("e", None, 80.0),
     )
-    assert rows(spatial.with_own_density(df), "outlet_id", "own_network_density") == [
+    assert rows(spatial.with_own_density(df, crowded=crowded), "outlet_id", "own_network_density") == [
         ("a", 2.0), ("b", 2.0), ("c", 2.0), ("d", 0.0), ("e", 0.0),
     ]
     assert rows(spatial.with_own_density(df.drop("latitude")), "own_network_density") == [(0.0,)] * 5
