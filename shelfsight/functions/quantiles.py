@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ACCURACY = 100_000
@@ -157,8 +158,9 @@ def counts_below(df: DataFrame, value: Column, fanout: int = _FANOUT) -> DataFra
     """
     rows = df.select(value.cast("double").alias("v")).where("v is not null and not isnan(v)")
     distinct = rows.groupBy("v").agg(F.count("*").alias("n"))
-    cuts = [i / fanout**2 for i in range(1, fanout**2)]
-    sketch = F.percentile_approx("v", F.array(*map(F.lit, cuts)), F.lit(10 * fanout**2))
+    # From numpy it is one literal, not an expression per element.
+    cuts = F.lit(np.arange(1, fanout**2) / fanout**2)
+    sketch = F.percentile_approx("v", cuts, F.lit(10 * fanout**2))
     coarse = F.transform(F.sequence(F.lit(1), F.lit(fanout - 1)), lambda i: F.col("b")[i * fanout - 1])
     bounds = distinct.agg(sketch.alias("b")).select(F.struct(F.col("b").alias("fine"), coarse.alias("coarse")).alias("s"))
     placed = distinct.withColumn("_bounds", bounds.scalar())
