@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfsight.session import stage
+
 ACCURACY = 100_000
 _FANOUT = 64
 
@@ -77,6 +79,9 @@ def exact_quantiles(
     brackets = sketch.select(*[F.col(g).alias(f"_b{g}") for g in group], "_n", *bounds)
     if few_groups or not keys:
         brackets = F.broadcast(brackets)
+    else:
+        # As a written table it has a known size: small, it is broadcast and the rows stay in place.
+        brackets = stage(brackets, "brackets")
 
     same_group = [F.col(g) == F.col(f"_b{g}") for g in group]
     v = F.col("_v")
