@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfsight.session import stage
 
 ACCURACY = 100_000
-_FANOUT = 64
+_FANOUT = 32
 
 
 def _melt(df: DataFrame, metrics: Mapping[str, Column], keys: Sequence[str]) -> DataFrame:
