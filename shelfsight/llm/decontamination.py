@@ -16,7 +16,7 @@ SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
 @dataclass(frozen=True)
 class PhraseRules:
     width: int = 10  # words of a window
-    lists: int = 3  # postings lists that are intersected for a window, from its rarest term on
+    lists: int = 2  # postings lists that are intersected for a window, from its rarest term on
     slop: int = 0  # words by which a term may stand off its place and still be near
 
 
@@ -45,8 +45,8 @@ def matches(docs: DataFrame, items: DataFrame, rules: PhraseRules = PhraseRules(
 
     1. The terms of the windows are counted over all texts.
     2. Of each window the ``lists`` rarest terms are chosen.
-    3. The postings of these terms are stored: text, place, and the words around
-       the place, as many as a window can reach.
+    3. The postings of these terms are stored: text, place and, of terms that are
+       the rarest of a window, the words around, as many as a window can reach.
     4. For each window the lists of its chosen terms are intersected from the
        rarest on, each shifted by the offset of the term in the window.
     5. What is left is compared word by word with the words around the rarest
@@ -62,7 +62,7 @@ def matches(docs: DataFrame, items: DataFrame, rules: PhraseRules = PhraseRules(
     w, slop = rules.width, rules.slop
     phrases = stage(
         windows(items, w).groupBy("phrase").agg(F.sort_array(F.collect_set("item_id")).alias("items")).withColumn(
-            "window", F.md5(F.concat_ws(" ", "phrase"))
+            "window", F.xxhash64("phrase", F.lit(1))
         ),
         "phrases",
     )
@@ -84,31 +84,34 @@ def matches(docs: DataFrame, items: DataFrame, rules: PhraseRules = PhraseRules(
     chosen = stage(chosen.select("window", "size", "offset", "term", "rank"), "chosen")
 
     around = w - 1 + slop
+    wanted = chosen.groupBy("term").agg(F.min("rank").alias("rank"))
+    near = F.slice("w", F.greatest(F.lit(1), F.col("place") + 1 - around), 2 * around + 1)
     index = stage(
         _placed(docs.where("doc_id is not null"))
         .select("doc_id", "w", F.posexplode("w").alias("place", "term"))
-        .join(chosen.select("term").distinct(), "term")
+        .join(wanted, "term")
         .select(
-            "term", "doc_id", "place",
-            F.slice("w", F.greatest(F.lit(1), F.col("place") + 1 - around), 2 * around + 1).alias("near"),
+            "term", "doc_id", "place", F.when(F.col("rank") == 1, near).alias("near"),
             F.least(F.col("place"), F.lit(around)).alias("before"),
         ),
         "postings",
     )
 
-    found = None
-    for rank in range(1, rules.lists + 1):
-        ranked = chosen.where(F.col("rank") == rank)
-        listed = ranked.join(index, "term").withColumn("start", F.col("place") - F.col("offset"))
-        if found is None:
-            found = listed.select("window", "doc_id", "start", "offset", "size", "near", "before")
-            continue
+    rarest = chosen.where("rank = 1").select("window", "term", "offset", "size")
+    found = rarest.join(index.where("near is not null").select("term", "doc_id", "place"), "term").select(
+        "window", "doc_id", (F.col("place") - F.col("offset")).alias("start")
+    )
+    for rank in range(2, rules.lists + 1):
+        here = chosen.where(F.col("rank") == rank).select("window", "term", "offset")
+        at = found.join(here, "window", "left").withColumn("place", F.col("start") + F.col("offset"))
+        spread = F.explode(F.sequence(F.col("place") - slop, F.col("place") + slop)) if slop else F.col("place")
+        listed = index.select("term", "doc_id", spread.alias("place"))
         # Windows with fewer terms than lists stay as they are.
-        around_start = F.sequence(F.col("start") - slop, F.col("start") + slop)
-        hits = listed.select("window", "doc_id", F.explode(around_start).alias("start")).distinct()
-        found = found.where(F.col("size") < rank).unionByName(
-            found.where(F.col("size") >= rank).join(hits, ["window", "doc_id", "start"], "left_semi")
+        found = at.where("term is null").select("window", "doc_id", "start").unionByName(
+            at.where("term is not null").join(listed, ["term", "doc_id", "place"], "left_semi").select("window", "doc_id", "start")
         )
+    found = stage(found, "intersected").join(rarest, "window").withColumn("place", F.col("start") + F.col("offset"))
+    found = found.join(index.where("near is not null"), ["term", "doc_id", "place"])
 
     phrase = phrases.select("window", "phrase", "items")
     # ``first`` is the index in ``near`` of the first word of the window.
@@ -137,7 +140,8 @@ def contamination(docs: DataFrame, items: DataFrame, rules: PhraseRules = Phrase
     covered = spans.withColumn("fresh", fresh).groupBy("doc_id").agg(F.sum("fresh").alias("n_hit"))
     named = hits.groupBy("doc_id").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     found = covered.join(named, "doc_id")
-    sized = docs.select("doc_id", F.size(terms(F.col("text"))).cast("long").alias("n_words"))
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))  # in either case
+    sized = docs.select("doc_id", words.cast("long").alias("n_words"))
     items_ = F.sort_array(F.coalesce("items", F.array().cast("array<string>")))
     return (
         sized.join(found, "doc_id", "left")
