@@ -42,3 +42,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def words_of(text: Column, separators: str) -> Column:
     """The runs of characters outside a class, in order; none for a null or empty text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{separators}]+"), "")
+
+
+def if_small(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
+    """A written table, marked for broadcast if its rows together are below a number of bytes as measured; else as it is, for a shuffled join."""
+    size = F.lit(0)
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        size = size + (F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(8))
+    total = df.select(F.sum(size + 16)).first()[0] or 0
+    return F.broadcast(df) if total <= limit else df

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfsight.llm.common import fold, words_of
+from shelfsight.llm.common import fold, if_small, let, words_of
 from shelfsight.session import stage
 
 #: Everything but ASCII letters (in lower case), digits and characters beyond ASCII.
@@ -45,18 +45,16 @@ def matches(docs: DataFrame, items: DataFrame, rules: PhraseRules = PhraseRules(
 
     1. The terms of the windows are counted over all texts.
     2. Of each window the ``lists`` rarest terms are chosen.
-    3. The postings of these terms are stored: text, place and, of terms that are
-       the rarest of a window, the words around, as many as a window can reach.
+    3. The postings of these terms are stored: term, text and place.
     4. For each window the lists of its chosen terms are intersected from the
        rarest on, each shifted by the offset of the term in the window.
-    5. What is left is compared word by word with the words around the rarest
-       term. With ``slop``, a window is near (``exact`` false) if every term
+    5. What is left is compared with the text, word by word. With ``slop``, a window is near (``exact`` false) if every term
        stands within that many words of its place.
 
     Nothing is left out: a window of frequent terms only is found through the
     least frequent of them. Counts combine before the shuffle, and joins with
-    postings are equi-joins that AQE splits. A small vocabulary is broadcast by
-    Spark's own size check. Null texts and ids: a null text has no words, a null
+    postings are equi-joins that AQE splits. Vocabularies are broadcast only
+    if they are measured to be small. Null texts and ids: a null text has no words, a null
     id cannot be referred to and is left out here. Empty tables give no rows.
     """
     w, slop = rules.width, rules.slop
@@ -68,7 +66,7 @@ def matches(docs: DataFrame, items: DataFrame, rules: PhraseRules = PhraseRules(
     )
     vocabulary = stage(phrases.select(F.explode("phrase").alias("term")).distinct(), "vocabulary")
     counts = stage(
-        _placed(docs).select(F.explode("w").alias("term")).join(vocabulary, "term").groupBy("term").count(), "counts"
+        _placed(docs).select(F.explode("w").alias("term")).join(if_small(vocabulary), "term").groupBy("term").count(), "counts"
     )
 
     # A window with a term that no text holds cannot occur exactly.
@@ -83,22 +81,17 @@ def matches(docs: DataFrame, items: DataFrame, rules: PhraseRules = PhraseRules(
     )
     chosen = stage(chosen.select("window", "size", "offset", "term", "rank"), "chosen")
 
-    around = w - 1 + slop
-    wanted = chosen.groupBy("term").agg(F.min("rank").alias("rank"))
-    near = F.slice("w", F.greatest(F.lit(1), F.col("place") + 1 - around), 2 * around + 1)
+    wanted = stage(chosen.select("term").distinct(), "terms")
     index = stage(
         _placed(docs.where("doc_id is not null"))
-        .select("doc_id", "w", F.posexplode("w").alias("place", "term"))
-        .join(wanted, "term")
-        .select(
-            "term", "doc_id", "place", F.when(F.col("rank") == 1, near).alias("near"),
-            F.least(F.col("place"), F.lit(around)).alias("before"),
-        ),
+        .select("doc_id", F.posexplode("w").alias("place", "term"))
+        .join(if_small(wanted), "term")
+        .select("term", "doc_id", "place"),
         "postings",
-    )
+    )
 
     rarest = chosen.where("rank = 1").select("window", "term", "offset", "size")
-    found = rarest.join(index.where("near is not null").select("term", "doc_id", "place"), "term").select(
+    found = rarest.join(index, "term").select(
         "window", "doc_id", (F.col("place") - F.col("offset")).alias("start")
     )
     for rank in range(2, rules.lists + 1):
@@ -110,17 +103,27 @@ def matches(docs: DataFrame, items: DataFrame, rules: PhraseRules = PhraseRules(
         found = at.where("term is null").select("window", "doc_id", "start").unionByName(
             at.where("term is not null").join(listed, ["term", "doc_id", "place"], "left_semi").select("window", "doc_id", "start")
         )
-    found = stage(found, "intersected").join(rarest, "window").withColumn("place", F.col("start") + F.col("offset"))
-    found = found.join(index.where("near is not null"), ["term", "doc_id", "place"])
-
-    phrase = phrases.select("window", "phrase", "items")
-    # ``first`` is the index in ``near`` of the first word of the window.
-    first = F.col("before") - F.col("offset")
-    exact = (first >= 0) & (F.slice("near", F.greatest(first, F.lit(0)) + 1, F.col("size")) == F.col("phrase"))
-    low = lambda k: F.greatest(first + k - slop, F.lit(0))
-    reach = lambda k: F.slice(F.col("near"), low(k) + 1, F.greatest(first + k + slop - low(k) + 1, F.lit(0)))
+    found = found.where("start >= 0").groupBy("doc_id").agg(F.collect_set(F.struct("window", "start")).alias("at"))
+    found = stage(found, "intersected")
+
+    # The words at what is left: of each place, the words from ``slop`` before it to ``slop`` behind.
+    held = if_small(stage(found.select("doc_id"), "intersected-docs"))
+    texts = docs.select("doc_id", "text").join(held, "doc_id").join(found, "doc_id")
+    wide = w + 2 * slop
+    cut = lambda words: F.transform(
+        "at",
+        lambda x: F.struct(
+            x["window"].alias("window"), x["start"].alias("start"),
+            F.slice(words, F.greatest(x["start"] - slop, F.lit(0)) + 1, F.lit(wide)).alias("near"), F.least(x["start"], F.lit(slop)).alias("first"),
+        ),
+    )
+    spread = texts.select("doc_id", F.explode(let(terms(F.col("text")), cut)).alias("x")).select("doc_id", "x.*")
+    spread = spread.join(phrases, "window").withColumn("size", F.size("phrase"))
+    exact = F.slice("near", F.col("first") + 1, F.col("size")) == F.col("phrase")
+    low = lambda k: F.greatest(F.col("first") + k - slop, F.lit(0))
+    reach = lambda k: F.slice(F.col("near"), low(k) + 1, F.col("first") + k + slop - low(k) + 1)
     nearly = F.forall(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.array_contains(reach(k), F.get(F.col("phrase"), k)))
-    checked = found.join(phrase, "window").withColumn("exact", exact)
+    checked = spread.withColumn("exact", exact)
     checked = checked.where(F.col("exact") | nearly) if slop else checked.where("exact")
     return checked.select("doc_id", F.explode("items").alias("item_id"), "start", "size", "exact")
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfsight.llm.common import fold, let
+from shelfsight.llm.common import fold, if_small, let
 from shelfsight.llm.decontamination import SEPARATORS, terms
 from shelfsight.session import stage
 
@@ -157,7 +157,7 @@ def find(docs: DataFrame, rules: DisclosureRules = DisclosureRules()) -> DataFra
         .withColumnRenamed("count", "n_joint").where(F.col("n_joint") >= rules.support)
     )
     joint = stage(joint, "pii-joint")
-    wanted = joint.select("term").distinct()
+    wanted = if_small(stage(joint.select("term").distinct(), "pii-wanted"))
     named = docs.select("doc_id", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
     df = stage(named.join(wanted, "term").groupBy("term").count().withColumnRenamed("count", "n_term"), "pii-terms")
     size = docs.agg(F.count("*").alias("n_docs"))
