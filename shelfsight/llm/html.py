@@ -133,9 +133,12 @@ def article(found: list[Line], neighbour: list[int]) -> str:
 
     Lines of the element a page itself calls its main part stay, as an article
     that a site shows twice is still one; where a page names such an element,
-    what is outside is no part of the article.
+    what is outside is no part of the article. A neighbour that has all lines of
+    the page is a copy and deletes nothing.
     """
     common = set(shared(_hashes(found).tolist(), neighbour))
+    if len(common) == len(found):  # a copy tells nothing
+        common = set()
     named = any(x.main and not x.marked for x in found)
     return " ".join(x.text for k, x in enumerate(found) if not x.marked and (x.main if named else k not in common))
 
@@ -186,7 +189,7 @@ def main_text(pages: DataFrame, carry: tuple[str, ...] = ("url",)) -> DataFrame:
         for frame in frames:
             yield pd.DataFrame({"row": frame["row"], "lines": [_hashes(lines(h)).tolist() for h in frame["html"]]})
 
-    pairs = neighbours(own.select("row", "url")).where("host <> '' and partner is not null").dropDuplicates(["row"])
+    pairs = neighbours(own.select("row", "url").dropDuplicates(["row"])).where("host <> '' and partner is not null")
     known = own.select("row", "html").mapInPandas(read, "row long, lines array<long>").dropDuplicates(["row"])
     pairs = pairs.select("row", "partner").join(known.withColumnRenamed("row", "partner"), "partner")
     given = own.join(pairs.select("row", "lines"), "row", "left")

@@ -35,10 +35,11 @@ class ChosenPath:
     percent: int = 75  # 100 * intersection / union, at least
     coordinates: int = 128  # minwise tokens of a document
     trees: int = 12
-    branches: int = 3  # coordinates that a large node branches by
+    branches: int = 2  # coordinates that a large node branches by
     depth: int = 6  # levels; what is still large then is compared in blocks
     leaf: int = 512  # documents that are compared exhaustively
-    margin: float = 0.55  # agreement of the coordinates from which a pair is looked at: five deviations below the threshold
+    strangers: int = 2048  # documents outside the main component of a node with which its parts are compared exhaustively
+    margin: float = 0.6  # agreement of the coordinates from which a pair is looked at: four deviations below the threshold
     block: int = 300_000  # shingles that are compared with one document at a time, about
 
     def __post_init__(self):
@@ -311,7 +312,7 @@ def near_duplicates(docs: DataFrame, rules: ChosenPath = ChosenPath()) -> DataFr
     ready, depth = [], 0
     while True:
         open_ = _labelled(level, joined)
-        small = F.col("others") <= rules.leaf
+        small = F.col("others") <= rules.strangers
         ready.append(stage(_parts(open_.where(small), rules.leaf), "leaves"))
         rest = open_.where(~small)
         depth += 1
