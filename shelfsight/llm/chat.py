@@ -60,8 +60,8 @@ def ordered(calls: DataFrame) -> DataFrame:
     that stands later. Order by (rank_turn, rank_step, call_id) is topological.
     Most calls need earlier ones and are settled at once; the others move until
     nothing moves, a round per link that points forward in time. Calls on a
-    cycle would move for ever: they are those that have taken more steps than
-    their conversation has calls, and keep their turn.
+    cycle, or that need one on a cycle, would move for ever: they are those that
+    have taken as many steps as their conversation has calls, and have no order.
     """
     edges = calls.select("conv_id", "call_id", F.explode("needs").alias("need")).distinct()
     known = calls.select("conv_id", F.col("call_id").alias("need"))
@@ -77,7 +77,7 @@ def ordered(calls: DataFrame) -> DataFrame:
             edges.join(needed, ["conv_id", "need"]).groupBy("conv_id", "call_id").agg(F.max("other").alias("other"))
         )
         behind = F.struct(F.col("other.turn").alias("turn"), (F.col("other.step") + 1).alias("step"))
-        move = (F.col("rank") <= F.col("other")) & (F.col("other.step") <= F.col("n_calls"))
+        move = (F.col("rank") <= F.col("other")) & (F.col("other.step") <= 2 * F.col("n_calls"))
         ranks = stage(
             ranks.drop("moved").join(least, ["conv_id", "call_id"], "left").join(size, "conv_id")
             .withColumn("moved", F.coalesce(move, F.lit(False)))
@@ -86,7 +86,7 @@ def ordered(calls: DataFrame) -> DataFrame:
         )
         if ranks.where("moved").isEmpty():
             break
-    out = ranks.join(size, "conv_id").withColumn("cyclic", F.col("rank.step") > F.col("n_calls"))
+    out = ranks.join(size, "conv_id").withColumn("cyclic", F.col("rank.step") >= F.col("n_calls"))
     return out.select("conv_id", "call_id", F.col("rank.turn").alias("rank_turn"), F.col("rank.step").alias("rank_step"), "cyclic")
 
 

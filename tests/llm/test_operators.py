@@ -300,12 +300,12 @@ def test_pii_patterns(spark, docs, empty):
 
 def test_pii_terms_that_give_a_value_away(spark):
     filler = [(k, f"plain the words of text {k}") for k in range(100, 160)]
-    rows = [(k, f"the Zorblax of, jo@x.org and {k}") for k in range(4)] + [(9, "the other kim@x.org")] + filler
+    rows = [(k, f"the Zorblax of, jo@x.org the {k}") for k in range(4)] + [(9, "the other kim@x.org")] + filler
     docs = spark.createDataFrame([(*r, len(r[1]), "s") for r in rows], "doc_id long, text string, n_chars long, spans string")
     got = {r.doc_id: r for r in pii.find(docs).collect()}
     assert [tuple(x) for x in got[0].added] == [("term", 4, 11)] and not got[9].added and not got[100].added
     clean = {r.doc_id: r for r in pii.clean(docs).collect()}
-    assert clean[0].text == "the [TERM] of, [EMAIL] and 0" and clean[0].n_chars == len(clean[0].text)
+    assert clean[0].text == "the [TERM] of, [EMAIL] the 0" and clean[0].n_chars == len(clean[0].text)
     assert clean[100].text == filler[0][1] and clean[9].text == "the other [EMAIL]"
     assert pii.clean(docs).columns == docs.columns
 
