@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -79,14 +80,19 @@ def peer_clusters(features: DataFrame, rules: config.ModelRules = config.MODEL)
     if not used:
         return features.select("outlet_id", F.lit(0).alias("peer_cluster"))
     matrix = matrix.persist()
+    best = None
     try:
-        models = [
-            KMeans(k=rules.clusters, seed=rules.seed + i, featuresCol="features", predictionCol="peer_cluster").fit(matrix)
-            for i in range(rules.cluster_tries)
-        ]
+        for i in range(rules.cluster_tries):
+            means = KMeans(
+                k=rules.clusters, seed=rules.seed + i, maxIter=rules.cluster_rounds, featuresCol="features", predictionCol="peer_cluster"
+            )
+            fitted = means.fit(matrix)
+            if fitted.summary.numIter >= rules.cluster_rounds:
+                warnings.warn(f"K-means try {i} ended after {rules.cluster_rounds} rounds without settling", stacklevel=2)
+            if best is None or fitted.summary.trainingCost < best.summary.trainingCost:
+                best = fitted
     finally:
         matrix.unpersist()
-    best = min(models, key=lambda m: m.summary.trainingCost)
     return best.transform(matrix).select("outlet_id", "peer_cluster")
 
 

@@ -204,7 +204,7 @@ def m4(t: Tables) -> DataFrame:
 @query("m5_quantile_regression")
 def m5(t: Tables) -> DataFrame:
     f = prepared.factored(t).drop("quantile_regression")
-    scored = quantile_regression.estimate(f, rounds=30).join(f.select("outlet_id", "hist_deflated_max"), "outlet_id")
+    scored = quantile_regression.estimate(f).join(f.select("outlet_id", "hist_deflated_max"), "outlet_id")
     return rounded(quantile_regression.coverage(scored, "hist_deflated_max", 0.9), 3)
 
 
