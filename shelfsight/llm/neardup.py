@@ -10,9 +10,11 @@ missed about once in ten million times.
 What stays together at every level, such as a large group of copies, would
 never get small. So links are looked for in rounds, and documents that links
 join already are not compared again: the first round takes each document to the
-most central of its neighbours in the node, the next ones the best pair of any
-two groups, the last all that is left between different groups. All links are
-confirmed on full sets.
+most central of its neighbours in the node, the next ones the best neighbour of each
+group. The last takes the documents that still have a neighbour in another
+group, brings their texts to the nodes and compares full sets there; of what it
+finds, a node returns only the links that join groups, never its pairs. All
+links are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ class ChosenPath:
     strangers: int = 2048  # documents outside the main component of a node with which its parts are compared exhaustively
     margin: float = 0.6  # agreement of the coordinates from which a pair is looked at: four deviations below the threshold
     block: int = 300_000  # shingles that are compared with one document at a time, about
+    whole: int = 2_000_000  # shingles of the documents of a node that are compared on full sets at once, about
 
     def __post_init__(self):
         if self.trees > self.coordinates:
@@ -115,33 +118,36 @@ def _groups(frames: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataF
 
 
 def _agreement(group: pd.DataFrame, rules: ChosenPath) -> np.ndarray:
-    """Share of equal coordinates of any two documents of a group, 0 where sizes or coordinates rule a link out."""
+    """Share of equal coordinates of any two documents of a group, 0 where sizes or coordinates rule a link out.
+
+    Two ``shared`` documents meet in another part of the node, and have 0 here.
+    """
     marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(len(group), -1)
     n = group["n_shingles"].to_numpy()
-    out = np.empty((len(group), len(group)), np.float32)
-    for k in range(len(group)):
+    out = np.zeros((len(group), len(group)), np.float32)
+    for k in np.flatnonzero(~group["shared"].to_numpy(bool)):
         out[k] = (marks == marks[k]).mean(1)
+    out = np.maximum(out, out.T)
     near = np.minimum(n[:, None], n) * 100 >= np.maximum(n[:, None], n) * rules.percent
     out[(out < rules.margin) | ~near] = 0
     np.fill_diagonal(out, 0)
     return out
 
 
-def _compared(members: DataFrame, sketches: DataFrame, work: Callable[[pd.DataFrame], list[tuple]], schema: str) -> DataFrame:
-    """``work`` on each group (node, part) of ``members``, which are bounded. Marks: a byte of each coordinate."""
+def _compared(rows: DataFrame, work: Callable[[pd.DataFrame], list[tuple]], schema: str) -> DataFrame:
+    """``work`` on each group (node, part) of ``rows``, which are bounded."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
+        found: list[tuple] = []
         names = [c.split()[0] for c in schema.split(", ")]
         for group in _groups(frames, ["node", "part"]):
             if len(group) > 1:
-                rows += work(group)
-            if len(rows) >= 10_000:
-                yield pd.DataFrame(rows, columns=names)
-                rows = []
-        yield pd.DataFrame(rows, columns=names)
+                found += work(group)
+            if len(found) >= 10_000:
+                yield pd.DataFrame(found, columns=names)
+                found = []
+        yield pd.DataFrame(found, columns=names)
 
-    own = members.join(sketches.select("id", "n_shingles", "marks"), "id")
-    return own.repartition("node", "part").sortWithinPartitions("node", "part", "id").mapInPandas(run, schema)
+    return rows.repartition("node", "part").sortWithinPartitions("node", "part", "id").mapInPandas(run, schema)
 
 
 def _central(rules: ChosenPath) -> Callable[[pd.DataFrame], list[tuple]]:
@@ -163,25 +169,74 @@ def _central(rules: ChosenPath) -> Callable[[pd.DataFrame], list[tuple]]:
     return work
 
 
-def _between(rules: ChosenPath, best_only: bool) -> Callable[[pd.DataFrame], list[tuple]]:
-    """Pairs of documents of different components: the best of any two components, or all."""
+def _apart(group: pd.DataFrame, rules: ChosenPath) -> np.ndarray:
+    """Agreement of documents of different components."""
+    own = group["component"].to_numpy()
+    agree = _agreement(group, rules)
+    agree[own[:, None] == own] = 0
+    return agree
+
+
+def _nearest(rules: ChosenPath) -> Callable[[pd.DataFrame], list[tuple]]:
+    """Of each component the pair with another one that agrees most."""
     def work(group: pd.DataFrame) -> list[tuple]:
-        own = group["component"].to_numpy()
-        agree = _agreement(group, rules)
-        agree[own[:, None] == own] = 0
-        a, b = np.nonzero(np.triu(agree))
-        if best_only:
-            order = np.argsort(-agree[a, b], kind="stable")
-            a, b = a[order], b[order]
-            pairs = np.stack([np.minimum(own[a], own[b]), np.maximum(own[a], own[b])], 1)
-            first = np.unique(pairs, axis=0, return_index=True)[1] if len(pairs) else []
-            a, b = a[first], b[first]
-        ids = group["id"].to_numpy()
-        return [(int(min(x, y)), int(max(x, y))) for x, y in zip(ids[a], ids[b])]
+        agree, own, ids = _apart(group, rules), group["component"].to_numpy(), group["id"].to_numpy()
+        order = np.argsort(-agree.max(1), kind="stable")
+        first = order[np.unique(own[order], return_index=True)[1]]
+        pairs = {(min(k, j), max(k, j)) for k, j in zip(first.tolist(), agree[first].argmax(1).tolist()) if agree[k, j]}
+        return [(int(min(ids[k], ids[j])), int(max(ids[k], ids[j]))) for k, j in sorted(pairs)]
+
+    return work
+
+
+def _open(rules: ChosenPath) -> Callable[[pd.DataFrame], list[tuple]]:
+    """The documents with a neighbour in another component."""
+    def work(group: pd.DataFrame) -> list[tuple]:
+        rows = group.loc[_apart(group, rules).any(1), ["node", "part", "id", "component", "shared"]]
+        return list(rows.itertuples(index=False, name=None))
 
     return work
 
 
+def _forest(rules: ChosenPath) -> Callable[[pd.DataFrame], list[tuple]]:
+    """Links on full sets that join the components of a group: fewer than it has components."""
+    def work(group: pd.DataFrame) -> list[tuple]:
+        sets = [shingles(text, rules.words) for text in group["text"]]
+        group, sets = group[[len(found) > 0 for found in sets]], [found for found in sets if len(found)]
+        if len(sets) < 2:
+            return []
+        sizes = np.array([len(found) for found in sets])
+        codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        starts = np.r_[0, sizes.cumsum()]
+        ids, label, out = group["id"].to_numpy(), group["component"].to_numpy().copy(), []
+        seen = np.zeros(codes.max() + 1, np.int32)
+        for k in np.flatnonzero(~group["shared"].to_numpy(bool)):
+            if (label == label[k]).all():
+                continue
+            mine = codes[starts[k] : starts[k + 1]]
+            seen[mine] = 1
+            both = np.add.reduceat(seen[codes], starts[:-1])
+            seen[mine] = 0
+            linked = (100 * both >= rules.percent * (sizes + sizes[k] - both)) & (label != label[k])
+            reached, first = np.unique(label[linked], return_index=True)
+            out += [(int(min(ids[k], x)), int(max(ids[k], x))) for x in ids[linked][first]]
+            label[np.isin(label, reached)] = label[k]
+        return out
+
+    return work
+
+
+def _with_texts(members: DataFrame, texts: DataFrame, rules: ChosenPath) -> DataFrame:
+    """Members with their texts; a part whose texts are long is dealt into blocks, and a group made of any two of them."""
+    rows = members.join(texts.select("id", "n_shingles").distinct(), "id")
+    blocks = rows.groupBy("node", "part").agg(F.ceil(2 * F.sum("n_shingles") / rules.whole).alias("blocks"))
+    blocks = blocks.withColumn("blocks", F.when(F.col("blocks") > 2, F.col("blocks")).otherwise(1))
+    dealt = members.join(blocks, ["node", "part"]).withColumn("mine", F.pmod(F.xxhash64("id"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    part = F.xxhash64("part", F.least("mine", "other"), F.greatest("mine", "other")).alias("part")
+    return dealt.select("node", "id", "component", "shared", part).join(texts.select("id", "text"), "id")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, rules: ChosenPath) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold.
 
@@ -232,11 +287,14 @@ def _labelled(members: DataFrame, joined: DataFrame) -> DataFrame:
 def _parts(members: DataFrame, leaf: int) -> DataFrame:
     """Members of nodes that can be compared whole, dealt into groups.
 
-    The main component of a node is dealt into parts, the others are in every part.
+    The main component of a node is dealt into parts, the others are in every
+    part, and from the second part on marked as ``shared``.
     """
     parts = F.greatest(F.lit(1), F.ceil(F.col("mains") / leaf))
     own = F.when(F.col("component") == F.col("main"), F.array(F.pmod(F.xxhash64("id"), parts)))
-    return members.select("node", "id", "component", F.explode(F.coalesce(own, F.sequence(F.lit(0).cast("long"), parts - 1))).alias("part"))
+    dealt = members.withColumn("part", F.explode(F.coalesce(own, F.sequence(F.lit(0).cast("long"), parts - 1))))
+    shared = (F.col("component") != F.col("main")) & (F.col("part") > 0)
+    return dealt.select("node", "id", "component", "part", shared.alias("shared"))
 
 
 def _in_blocks(members: DataFrame, leaf: int) -> DataFrame:
@@ -245,7 +303,8 @@ def _in_blocks(members: DataFrame, leaf: int) -> DataFrame:
     dealt = members.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("id"), "blocks"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     return dealt.select(
-        "node", "id", "component", (F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")).alias("part")
+        "node", "id", "component", (F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other")).alias("part"),
+        F.lit(False).alias("shared"),
     )
 
 
@@ -279,11 +338,16 @@ def near_duplicates(docs: DataFrame, rules: ChosenPath = ChosenPath()) -> DataFr
     roots = F.array(*(F.xxhash64(F.lit(t), _token(F.lit(t))) for t in range(rules.trees)))
     level = _sized(sketches.select("id", F.explode(roots).alias("node")), "tree-0")
 
+    looks = sketches.select("id", "n_shingles", "marks")
     # First round: each document to the most central of its neighbours, and large nodes to one centre.
     large = F.col("size") > rules.leaf
     dealt = level.withColumn("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / rules.leaf)))
     central = stage(
-        _compared(dealt.select("node", "id", "part"), sketches, _central(rules), "node long, id long, hub long, score double"), "central"
+        _compared(
+            dealt.select("node", "id", "part", F.lit(False).alias("shared")).join(looks, "id"),
+            _central(rules), "node long, id long, hub long, score double",
+        ),
+        "central",
     )
     sides = central.where("id <> hub")
     stars = sides.groupBy("id").agg(F.max(F.struct("score", -F.col("hub"))).alias("best")).select(
@@ -328,16 +392,20 @@ def near_duplicates(docs: DataFrame, rules: ChosenPath = ChosenPath()) -> DataFr
     for more in ready[1:]:
         members = members.unionByName(more)
 
-    for best_only in (True, False):
-        fresh = members.drop("component").join(joined.select(F.col("node").alias("id"), "component"), "id", "left")
+    def several(rows: DataFrame) -> DataFrame:
+        """Rows of the groups that still have more than one component."""
+        fresh = rows.drop("component").join(joined.select(F.col("node").alias("id"), "component"), "id", "left")
         fresh = fresh.withColumn("component", F.coalesce("component", "id"))
-        several = fresh.groupBy("node", "part").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        fresh = fresh.join(several.select("node", "part"), ["node", "part"])
-        pairs = stage(_compared(fresh, sketches, _between(rules, best_only), "a long, b long").distinct(), "pairs")
-        if pairs.isEmpty():
-            break
-        links = stage(links.unionByName(_confirmed(pairs, texts, rules)), "links")
-        joined = components(links)
+        mixed = fresh.groupBy("node", "part").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+        return fresh.join(mixed.select("node", "part"), ["node", "part"])
+
+    pairs = stage(_compared(several(members).join(looks, "id"), _nearest(rules), "a long, b long").distinct(), "pairs")
+    links = stage(links.unionByName(_confirmed(pairs, texts, rules)), "links")
+    joined = components(links)
+    schema = "node long, part long, id long, component long, shared boolean"
+    still = stage(_compared(several(members).join(looks, "id"), _open(rules), schema).distinct(), "open")
+    links = stage(links.unionByName(_compared(_with_texts(still, texts, rules), _forest(rules), "a long, b long")), "links")
+    joined = components(links)
 
     labels = joined.select(F.col("node").alias("id"), "component")
     classes = stage(classes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("found")), "labels")
