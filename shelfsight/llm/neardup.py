@@ -124,9 +124,12 @@ def _agreement(group: pd.DataFrame, rules: ChosenPath) -> np.ndarray:
     """
     marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(len(group), -1)
     n = group["n_shingles"].to_numpy()
+    own = np.flatnonzero(~group["shared"].to_numpy(bool))
+    equal = np.zeros((len(own), len(group)), np.uint16)
+    for coordinate in np.ascontiguousarray(marks.T):
+        equal += coordinate[own, None] == coordinate
     out = np.zeros((len(group), len(group)), np.float32)
-    for k in np.flatnonzero(~group["shared"].to_numpy(bool)):
-        out[k] = (marks == marks[k]).mean(1)
+    out[own] = equal / np.float32(marks.shape[1])
     out = np.maximum(out, out.T)
     near = np.minimum(n[:, None], n) * 100 >= np.maximum(n[:, None], n) * rules.percent
     out[(out < rules.margin) | ~near] = 0
