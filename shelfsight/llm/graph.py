@@ -63,3 +63,18 @@ def components(edges: DataFrame) -> DataFrame:
         earlier = rounds.pop().join(above, F.col("root") == F.col("at"), "left")
         out = out.unionByName(earlier.select("node", F.coalesce("top", "root").alias("root")))
     return stage(out.select("node", F.col("root").alias("component")), "components")
+
+
+def extended(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """What :func:`components` gives for the edges behind ``labels`` and these together.
+
+    Only the smallest nodes of the components are linked anew, so the work on a
+    few more edges does not repeat that on the many before.
+    """
+    low = labels.select(F.col("node").alias("a"), F.col("component").alias("root_a"))
+    high = labels.select(F.col("node").alias("b"), F.col("component").alias("root_b"))
+    roots = edges.join(low, "a", "left").join(high, "b", "left")
+    more = components(roots.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    above = more.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    old = labels.join(above, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return stage(old.unionByName(more), "components")

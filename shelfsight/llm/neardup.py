@@ -12,7 +12,7 @@ never get small. So links are looked for in rounds, and documents that links
 join already are not compared again: the first round takes each document to the
 most central of its neighbours in the node, the next ones the best neighbour of each
 group. The last takes the documents that still have a neighbour in another
-group, brings their texts to the nodes and compares full sets there; of what it
+group (looked for only among those that had one in the round before), brings their texts to the nodes and compares full sets there; of what it
 finds, a node returns only the links that join groups, never its pairs. All
 links are confirmed on full sets.
 """
@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfsight.llm.graph import components
+from shelfsight.llm.graph import components, extended
 from shelfsight.session import stage
 
 
@@ -117,6 +117,15 @@ def _groups(frames: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataF
         yield rest
 
 
+def _together(rows: DataFrame, *key: str) -> DataFrame:
+    """Rows with the same key in one partition.
+
+    Dealt by a hash of the key: a shuffle on the key itself is left out where a
+    join has made it already, and the skew split of that join would then tear groups.
+    """
+    return rows.repartition(F.xxhash64(*key))
+
+
 def _agreement(group: pd.DataFrame, rules: ChosenPath) -> np.ndarray:
     """Share of equal coordinates of any two documents of a group, 0 where sizes or coordinates rule a link out.
 
@@ -150,7 +159,7 @@ def _compared(rows: DataFrame, work: Callable[[pd.DataFrame], list[tuple]], sche
                 found = []
         yield pd.DataFrame(found, columns=names)
 
-    return rows.repartition("node", "part").sortWithinPartitions("node", "part", "id").mapInPandas(run, schema)
+    return _together(rows, "node", "part").sortWithinPartitions("node", "part", "id").mapInPandas(run, schema)
 
 
 def _central(rules: ChosenPath) -> Callable[[pd.DataFrame], list[tuple]]:
@@ -180,22 +189,22 @@ def _apart(group: pd.DataFrame, rules: ChosenPath) -> np.ndarray:
     return agree
 
 
-def _nearest(rules: ChosenPath) -> Callable[[pd.DataFrame], list[tuple]]:
-    """Of each component the pair with another one that agrees most."""
-    def work(group: pd.DataFrame) -> list[tuple]:
-        agree, own, ids = _apart(group, rules), group["component"].to_numpy(), group["id"].to_numpy()
-        order = np.argsort(-agree.max(1), kind="stable")
-        first = order[np.unique(own[order], return_index=True)[1]]
-        pairs = {(min(k, j), max(k, j)) for k, j in zip(first.tolist(), agree[first].argmax(1).tolist()) if agree[k, j]}
-        return [(int(min(ids[k], ids[j])), int(max(ids[k], ids[j]))) for k, j in sorted(pairs)]
-
-    return work
+_MEMBER = "node long, part long, id long, component long, shared boolean"
 
 
 def _open(rules: ChosenPath) -> Callable[[pd.DataFrame], list[tuple]]:
-    """The documents with a neighbour in another component."""
+    """The documents with a neighbour in another component.
+
+    ``nearest`` is that neighbour for the document of each component that agrees
+    most with one, and the document itself for the others.
+    """
     def work(group: pd.DataFrame) -> list[tuple]:
-        rows = group.loc[_apart(group, rules).any(1), ["node", "part", "id", "component", "shared"]]
+        agree, own, ids = _apart(group, rules), group["component"].to_numpy(), group["id"].to_numpy()
+        order = np.argsort(-agree.max(1), kind="stable")
+        first = order[np.unique(own[order], return_index=True)[1]]
+        nearest = ids.copy()
+        nearest[first] = ids[agree[first].argmax(1)]
+        rows = group[["node", "part", "id", "component", "shared"]].assign(nearest=nearest)[agree.any(1)]
         return list(rows.itertuples(index=False, name=None))
 
     return work
@@ -270,7 +279,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, rules: ChosenPath) -> DataFra
                     out.append((a, doc))
             yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "turn").mapInPandas(run, "a long, b long")
+    return _together(rows, "a", "part").sortWithinPartitions("a", "part", "turn").mapInPandas(run, "a long, b long")
 
 
 def _labelled(members: DataFrame, joined: DataFrame) -> DataFrame:
@@ -328,15 +337,13 @@ def near_duplicates(docs: DataFrame, rules: ChosenPath = ChosenPath()) -> DataFr
     docs = docs.select("doc_id", "text")
     known = stage(_sketches(docs, rules), "sketches")
     usable = known.where("n_shingles > 0 and doc_id is not null")
-    classes = stage(usable.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
-    sketches = (
-        usable.join(classes.select("digest", F.col("id").alias("doc_id")), ["digest", "doc_id"])
-        .dropDuplicates(["digest"])
-        .where(F.col("n_shingles") > 1)
+    # One row per class, of which all documents have the same sketch; an id with several texts has several.
+    alike = usable.groupBy("digest").agg(
+        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")
     )
-    # One row per class; an id with several texts has several.
     marks = F.concat(*(F.substring("sketch", 4 * k + 4, 1) for k in range(rules.coordinates)))
-    sketches = stage(sketches.select(F.col("doc_id").alias("id"), "n_shingles", "sketch", marks.alias("marks")), "representatives")
+    alike = stage(alike.withColumn("marks", marks), "classes")
+    classes, sketches = alike.select("digest", "id"), alike.where("n_shingles > 1")
 
     roots = F.array(*(F.xxhash64(F.lit(t), _token(F.lit(t))) for t in range(rules.trees)))
     level = _sized(sketches.select("id", F.explode(roots).alias("node")), "tree-0")
@@ -383,7 +390,9 @@ def near_duplicates(docs: DataFrame, rules: ChosenPath = ChosenPath()) -> DataFr
         ready.append(stage(_parts(open_.where(small), rules.leaf), "leaves"))
         rest = open_.where(~small)
         depth += 1
-        if depth == rules.depth or rest.isEmpty():
+        if rest.isEmpty():
+            break
+        if depth == rules.depth:
             ready.append(stage(_in_blocks(rest, rules.leaf), "blocks"))
             break
         chosen = F.array(*(F.pmod(F.xxhash64("node", F.lit(k)), F.lit(rules.coordinates)).cast("int") for k in range(rules.branches)))
@@ -402,13 +411,16 @@ def near_duplicates(docs: DataFrame, rules: ChosenPath = ChosenPath()) -> DataFr
         mixed = fresh.groupBy("node", "part").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
         return fresh.join(mixed.select("node", "part"), ["node", "part"])
 
-    pairs = stage(_compared(several(members).join(looks, "id"), _nearest(rules), "a long, b long").distinct(), "pairs")
-    links = stage(links.unionByName(_confirmed(pairs, texts, rules)), "links")
-    joined = components(links)
-    schema = "node long, part long, id long, component long, shared boolean"
-    still = stage(_compared(several(members).join(looks, "id"), _open(rules), schema).distinct(), "open")
-    links = stage(links.unionByName(_compared(_with_texts(still, texts, rules), _forest(rules), "a long, b long")), "links")
-    joined = components(links)
+    def neighbours(rows: DataFrame, name: str) -> DataFrame:
+        return stage(_compared(several(rows).join(looks, "id"), _open(rules), f"{_MEMBER}, nearest long"), name)
+
+    # Groups only grow together, so who has no neighbour in another one now will have none later.
+    found = neighbours(members, "neighbours")
+    pairs = found.where("id <> nearest").select(F.least("id", "nearest").alias("a"), F.greatest("id", "nearest").alias("b"))
+    joined = extended(joined, stage(_confirmed(pairs.distinct(), texts, rules), "links-1"))
+    row = [c.split()[0] for c in _MEMBER.split(", ")]
+    still = neighbours(found.select(row).distinct(), "open").select(row).distinct()
+    joined = extended(joined, stage(_compared(_with_texts(stage(still, "still"), texts, rules), _forest(rules), "a long, b long"), "links-2"))
 
     labels = joined.select(F.col("node").alias("id"), "component")
     classes = stage(classes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("found")), "labels")

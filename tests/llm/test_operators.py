@@ -156,6 +156,38 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_extended_components(spark):
+    frame = lambda edges: spark.createDataFrame(edges, "a long, b long")
+    rows = lambda df: {(r.node, r.component) for r in df.collect()}
+    old, new = [(5, 6), (6, 7), (2, 9), (20, 21)], [(7, 9), (1, 30), (30, 21), (8, 8), (6, 5)]
+    got = graph.extended(graph.components(frame(old)), frame(new))
+    assert rows(got) == rows(graph.components(frame(old + new)))
+    assert rows(graph.extended(graph.components(frame([])), frame(old))) == rows(graph.components(frame(old)))
+    assert rows(graph.extended(graph.components(frame(old)), frame([]))) == rows(graph.components(frame(old)))
+
+
+def test_groups_stay_whole_behind_a_skewed_join(spark):
+    """Neighbours of one group are found also where the join before it on the same keys is split by AQE."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(40_000).selectExpr("id % 7 AS node", "0L AS part", "id")
+        keys = spark.range(7).selectExpr("id AS node", "0L AS part")
+        joined = rows.repartition(16).join(keys.hint("merge"), ["node", "part"])
+        work = lambda group: [(int(group["node"].iloc[0]), len(group))]
+        got = [(r.node, r.n) for r in neardup._compared(joined, work, "node long, n long").collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted(got) == [(k, len(range(k, 40_000, 7))) for k in range(7)]
+
+
+
 def test_url_decisions_reach_aliases(spark):
     page = lambda k, url, html="": (k, url, html, "x", 1, "y")
     link = '<link rel="canonical" href="{}">'
