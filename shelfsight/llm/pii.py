@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,14 +25,13 @@ TERM = "term"
 class DisclosureRules:
     """When a term gives a protected value away."""
 
-    context: int = 100  # characters on either side of a value whose words are looked at
-    support: int = 3  # documents that hold both
     share: float = 0.9  # of the information of the value that the term tells
+    surprise: float = 1.0  # bits by which the shared documents must exceed what one document could show
     letters: int = 3  # of a term, at least
 
 
-def spans_of(text: Column, pattern: str, shift: Column | int = 0) -> Column:
-    """Leftmost matches that do not overlap, as (start, end, value) in characters.
+def spans_of(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """Leftmost matches that do not overlap, as (start, end, value) in characters; only those whose value is ``wanted``, if given.
 
     The pieces between the matches and the matches take turns, so their lengths
     add up to the positions.
@@ -43,8 +43,9 @@ def spans_of(text: Column, pattern: str, shift: Column | int = 0) -> Column:
         def step(s: Column, pair: Column) -> Column:
             start = s["at"] + F.length(pair["gap"])
             end = start + F.length(pair["hit"])
-            row = F.struct((start + shift).alias("start"), (end + shift).alias("end"), pair["hit"].alias("value"))
-            return F.struct(end.alias("at"), F.concat(s["out"], F.array(row)).alias("out"))
+            row = F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("value"))
+            more = F.concat(s["out"], F.array(row))
+            return F.struct(end.alias("at"), (F.when(wanted(pair["hit"]), more).otherwise(s["out"]) if wanted else more).alias("out"))
 
         pairs = F.transform(both["hits"], lambda hit, k: F.struct(F.get(both["gaps"], k).alias("gap"), hit.alias("hit")))
         return F.aggregate(pairs, begin, step, lambda s: s["out"])
@@ -97,89 +98,125 @@ def _value_key(kind: Column, value: Column) -> Column:
     return F.concat_ws(":", kind, F.when(kind.isin("card", "phone"), _digits(value)).otherwise(fold(value)))
 
 
-def _context(text: Column, span: Column, rules: DisclosureRules) -> Column:
-    """The words on either side of a span, with their places in the text."""
-    left_at = F.greatest(F.lit(0), span["start"] - rules.context)
-    # A word cut by the edge of the context is left out, unless the text itself begins or ends there.
-    sides = (
-        (F.substring(text, left_at + 1, span["start"] - left_at), left_at),
-        (F.substring(text, span["end"] + 1, F.lit(rules.context)), span["end"]),
+def _words(text: Column, rules: DisclosureRules) -> Column:
+    """The distinct words of a whole text that can be terms."""
+    return F.filter(F.array_distinct(terms(text)), lambda w: (F.length(w) >= rules.letters) & w.rlike(r"\p{L}"))
+
+
+def _weighed(rows: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """``_w``: rows that repeat an id with its text share the weight of one document; a null id has none."""
+    if repeated is None:
+        return rows.withColumn("_w", F.when(F.col("_id").isNotNull(), 1.0).otherwise(0.0))
+    weight = F.when(F.col("_id").isNotNull(), 1.0 / F.coalesce("n_rows", F.lit(1))).otherwise(0.0)
+    return rows.join(if_small(repeated), ["_id", "_key"], "left").withColumn("_w", weight)
+
+
+def _n() -> Column:
+    return F.round(F.sum("_w")).cast("long")
+
+
+def _told(base: DataFrame, docs: DataFrame, rules: DisclosureRules) -> DataFrame | None:
+    """(_key, _terms): the terms of a text that give one of its values away. None if no value can be judged."""
+    ids = base.where("_id is not null").groupBy("_id", "_key").agg(F.count("*").alias("n_rows"))
+    ids = stage(ids, "pii-ids")
+    n_docs = ids.count()
+    repeated = ids.where("n_rows > 1")
+    repeated = None if repeated.isEmpty() else stage(repeated, "pii-repeated")
+
+    held = _weighed(base.where("_entities is not null").select("_id", "_key", "_entities", "_words"), repeated)
+    texts = held.groupBy("_key").agg(F.sum("_w").alias("_w"), F.first("_entities").alias("_entities"), F.first("_words").alias("_words"))
+    texts = stage(texts, "pii-texts")
+    values = texts.select("_key", "_w", F.explode("_entities").alias("entity"))
+    # One document can never exceed what one document shows; a value of all documents has no information.
+    entities = values.groupBy("entity").agg(_n().alias("n_entity")).where(F.col("n_entity").between(2, n_docs - 1))
+    entities = stage(entities, "pii-entities")
+    most = entities.agg(F.max("n_entity")).first()[0]
+    if most is None:
+        return None
+
+    # From share and n_joint <= n_entity: no term of more documents can tell enough.
+    def reach(n):
+        return n * F.pow(n_docs / n, F.lit(1 - rules.share)) + 1e-6
+
+    values = stage(values.join(if_small(entities), "entity"), "pii-values")
+    judged = texts.join(if_small(stage(values.select("_key").distinct(), "pii-judged")), "_key", "left_semi")
+    named = judged.select("_key", F.explode("_words").alias("term"))
+    wanted = stage(named.select("term").distinct(), "pii-wanted")
+    every = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
+    if repeated is not None:
+        every = every.withColumn("_key", F.sha2("_text", 256))
+    every = _weighed(every, repeated).where("_w > 0").select("_w", F.explode(_words(F.col("_text"), rules)).alias("term"))
+    counts = every.groupBy("term").agg(_n().alias("n_term")).where((F.col("n_term") >= 2) & (F.col("n_term") <= reach(F.lit(most))))
+    counts = if_small(stage(counts.join(wanted, "term"), "pii-terms"))
+
+    pairs = named.join(counts, "term").join(values, "_key").where(F.col("n_term") <= reach(F.col("n_entity")))
+    pairs = stage(pairs.select("_key", "_w", "entity", "n_entity", "term", "n_term"), "pii-pairs")
+    joint = pairs.groupBy("entity", "n_entity", "term", "n_term").agg(_n().alias("n_joint"))
+    information = F.log2(F.col("n_joint") * n_docs / (F.col("n_term") * F.col("n_entity")))
+    told = joint.where(
+        (information >= rules.share * F.log2(n_docs / F.col("n_entity")))
+        & (F.col("n_joint") * information >= F.log2(F.lit(n_docs)) + rules.surprise)
     )
-    word = rf"[^{SEPARATORS}]++"
-    both = F.concat(*(spans_of(fold(part), word, at) for part, at in sides))
-    last = F.least(F.length(text), span["end"] + rules.context)
-    whole = lambda w: (
-        ((w["start"] > left_at) | (left_at == 0)) & ((w["end"] < last) | (last == F.length(text)))
-        & (F.length(w["value"]) >= rules.letters) & w["value"].rlike(r"\p{L}")
-    )
-    return F.filter(both, whole)
+    told = if_small(stage(told.select("entity", "term"), "pii-told"))
+    return stage(pairs.join(told, ["entity", "term"], "left_semi").groupBy("_key").agg(F.collect_set("term").alias("_terms")), "pii-added")
+
+
+def _judged(docs: DataFrame, rules: DisclosureRules, columns: list[str]) -> DataFrame:
+    """``columns`` of every row, with ``_spans`` and ``_added`` as ``find`` gives them, both made from the text of the row itself."""
+    text = F.coalesce("text", F.lit(""))
+    base = docs.select(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)), F.col("doc_id").alias("_id"), text.alias("_text"))
+    base = base.withColumn("_found", let(F.col("_text"), _found)).withColumn("_key", F.sha2("_text", 256))
+    held = F.size("_found") > 0
+    entities = F.array_distinct(F.transform("_found", lambda m: _value_key(m["kind"], m["value"])))
+    base = base.withColumn("_entities", F.when(held, entities)).withColumn("_words", F.when(held, _words(F.col("_text"), rules)))
+    base = stage(base.withColumn("_text", F.when(held, F.col("_text"))), "pii-base")
+
+    plain = F.transform("_found", lambda m: F.struct(m["kind"], m["start"], m["end"]))
+    none = F.filter("_spans", lambda _: F.lit(False))
+    named = [F.col(f"c{k}").alias(c) for k, c in enumerate(columns)]
+    told = _told(base, docs, rules)
+    rows = base.withColumn("_spans", plain)
+    if told is None:
+        return rows.select(*named, "_spans", none.alias("_added"))
+
+    def standing(given: Column) -> Column:
+        at = spans_of(fold(given["text"]), rf"[^{SEPARATORS}]++", lambda w: F.array_contains(given["terms"], w))
+        return F.transform(at, lambda t: F.struct(F.lit(TERM).alias("kind"), t["start"], t["end"]))
+
+    told = rows.where("_entities is not null").join(if_small(told), "_key", "left")
+    at = F.when(F.size("_terms") > 0, let(F.struct(F.col("_text").alias("text"), F.col("_terms").alias("terms")), standing))
+    free = F.filter(F.col("_at"), lambda t: ~F.exists("_spans", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    told = told.withColumn("_at", at).select(*named, "_spans", F.coalesce(free, none).alias("_added"))
+    return rows.where("_entities is null").select(*named, "_spans", none.alias("_added")).unionByName(told)
 
 
 def find(docs: DataFrame, rules: DisclosureRules = DisclosureRules()) -> DataFrame:
     """(doc_id, spans, added) of every row; a span is (kind, start, end), end exclusive, in characters.
 
     ``spans`` are the matches of the patterns: email, IP address, payment card
-    (Luhn), phone. ``added`` are terms near a protected value that give it away.
-    How much a term t tells about a value v is taken from all documents,
+    (Luhn), phone. ``added`` are terms of a document that give one of its values
+    away. How much a term t tells about a value v is taken from all documents,
 
         share = log2( P(t, v) / (P(t) P(v)) ) / log2( 1 / P(v) )
 
     with P as shares of documents; 1 means that t occurs with v only. Terms from
-    ``share`` on that occur near v in ``support`` documents are added wherever
-    they stand near v and outside every other span.
-
-    The words of all texts are counted by a combined aggregate; the terms near a
-    value are looked at only for values found in ``support`` documents, without
-    whose repetition nothing can be said. A null text is empty, repeated rows
-    get the same spans each and count as one document, a null id has its
-    patterns but no terms. Other columns are ignored; an empty table gives an
-    empty result.
+    ``share`` on are told if the documents they share with v are no accident:
+
+        n(t, v) log2( P(t, v) / (P(t) P(v)) ) >= log2( n ) + surprise
+
+    n documents in all. Two shared documents can be enough; one never is, as any
+    word of a single document has log2(n) bits at most. A told term is added
+    wherever it stands in a document with v, outside every span of a pattern.
+
+    Words of the values count as words of the document. Terms are counted by
+    combined aggregates; what the bounds rule out is left out before pairs of
+    values and terms are made. A null text is empty. A document is an id with a
+    text: repeated rows get the same spans each and count as one document, two
+    texts under one id are two. A row with a null id is not counted; its
+    patterns and the terms told by the others are found. Other columns are
+    ignored; an empty table gives an empty result.
     """
-    text = F.coalesce("text", F.lit(""))
-    base = docs.select("doc_id", text.alias("text")).withColumn("found", let(F.col("text"), _found))
-    held = let(
-        F.col("text"),
-        lambda t: F.transform(
-            F.col("found"),
-            lambda m: F.struct(_value_key(m["kind"], m["value"]).alias("entity"), _context(t, m, rules).alias("near")),
-        ),
-    )
-    held = F.when(F.size("found") > 0, held)
-    base = stage(base.withColumn("held", held).select("doc_id", "found", "held"), "pii-base")
-
-    near = base.where("doc_id is not null and held is not null").select("doc_id", F.explode("held").alias("h"))
-    near = near.select("doc_id", "h.entity", "h.near")
-    entities = near.groupBy("entity").agg(F.countDistinct("doc_id").alias("n_entity")).where(F.col("n_entity") >= rules.support)
-    near = near.join(entities, "entity").select("doc_id", "entity", "n_entity", F.explode("near").alias("m"))
-    near = stage(near.select("doc_id", "entity", "n_entity", F.col("m.value").alias("term"), "m.start", "m.end"), "pii-near")
-    joint = (
-        near.select("doc_id", "entity", "n_entity", "term").distinct().groupBy("entity", "n_entity", "term").count()
-        .withColumnRenamed("count", "n_joint").where(F.col("n_joint") >= rules.support)
-    )
-    joint = stage(joint, "pii-joint")
-    wanted = if_small(stage(joint.select("term").distinct(), "pii-wanted"))
-    named = docs.select("doc_id", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
-    df = stage(named.join(wanted, "term").groupBy("term").count().withColumnRenamed("count", "n_term"), "pii-terms")
-    size = docs.agg(F.count("*").alias("n_docs"))
-    information = F.log2(F.col("n_joint") * F.col("n_docs") / (F.col("n_term") * F.col("n_entity")))
-    told = (
-        joint.join(df, "term").join(F.broadcast(size))  # one row
-        .where(information >= rules.share * F.log2(F.col("n_docs") / F.col("n_entity")))
-        .where(F.col("n_entity") < F.col("n_docs"))
-        .select("entity", "term")
-    )
-    added = (
-        near.join(told, ["entity", "term"])
-        .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_set(F.struct(F.lit(TERM).alias("kind"), "start", "end"))).alias("told"))
-    )
-    plain = F.transform("found", lambda m: F.struct(m["kind"], m["start"], m["end"]))
-    free = F.filter("told", lambda t: ~F.exists("spans", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return (
-        base.select("doc_id", plain.alias("spans"))
-        .join(added, "doc_id", "left")
-        .select("doc_id", "spans", F.coalesce(F.when(F.size("told") > 0, free), F.filter("spans", lambda _: F.lit(False))).alias("added"))
-    )
+    return _judged(docs, rules, ["doc_id"]).select("doc_id", F.col("_spans").alias("spans"), F.col("_added").alias("added"))
 
 
 def digest(spans: Column) -> Column:
@@ -193,10 +230,8 @@ def clean(docs: DataFrame, rules: DisclosureRules = DisclosureRules()) -> DataFr
     Overlapping spans become one, named after the first. Rows without a span
     stay as they are. All columns of ``docs`` are kept, in their order.
     """
-    spans = find(docs, rules).where(F.size("spans") + F.size("added") > 0)
-    spans = spans.groupBy("doc_id").agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.transform(F.concat("spans", "added"), lambda m: F.struct(m["start"], m["end"], m["kind"])))))).alias("_spans")
-    )
+    every = F.transform(F.concat("_spans", "_added"), lambda m: F.struct(m["start"], m["end"], m["kind"]))
+    out = _judged(docs, rules, docs.columns).withColumn("_all", F.sort_array(F.array_distinct(every)))
 
     def rebuilt(text: Column) -> Column:
         start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -205,10 +240,9 @@ def clean(docs: DataFrame, rules: DisclosureRules = DisclosureRules()) -> DataFr
             new = F.concat(s["out"], F.substring(text, s["at"] + 1, m["start"] - s["at"]), F.lit("["), F.upper(m["kind"]), F.lit("]"))
             return F.struct(F.greatest(s["at"], m["end"]).alias("at"), F.when(m["start"] >= s["at"], new).otherwise(s["out"]).alias("out"))
 
-        return F.aggregate("_spans", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+        return F.aggregate("_all", start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
 
-    out = docs.join(spans.select(F.col("doc_id").alias("_doc"), "_spans"), F.col("doc_id") == F.col("_doc"), "left")
-    changed = F.size(F.coalesce("_spans", F.array())) > 0
+    changed = F.size("_all") > 0
     text = F.when(changed & F.col("text").isNotNull(), let(F.col("text"), rebuilt)).otherwise(F.col("text"))
     out = out.withColumn("_new", text)
     put = {"text": F.col("_new"), "n_chars": F.when(changed, F.length("_new").cast("long")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}

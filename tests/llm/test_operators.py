@@ -342,6 +342,21 @@ def test_pii_terms_that_give_a_value_away(spark):
     assert pii.clean(docs).columns == docs.columns
 
 
+def test_pii_terms_of_whole_documents_and_of_values_in_few(spark):
+    """The term stands far from the value, again behind it, and only two documents hold the value."""
+    far = "plain words " * 30
+    filler = [(k, f"plain words of text {k}") for k in range(100, 160)]
+    rows = [(k, f"Zorblax {far} jo@x.org {far} zorblax") for k in range(2)] + [(2, f"quuxly {far} kim@x.org"), (2, f"quuxly {far} kim@x.org")]
+    rows += [(3, "grault lee@y.net"), (4, "grault far from it"), (5, "grault lee@y.net"), (6, "grault"), (7, "grault"), (None, "zorblax jo@x.org")]
+    docs = spark.createDataFrame(rows + filler, "doc_id long, text string")
+    got = {r.doc_id: [tuple(x) for x in r.added] for r in pii.find(docs).collect()}
+    end = len(rows[0][1])
+    assert got[0] == got[1] == [("term", 0, 7), ("term", end - 7, end)]
+    assert not got[2] and not got[3] and not any(got[k] for k, _ in filler)  # one document alone; a term too common
+    clean = {r.doc_id: r.text for r in pii.clean(docs).collect()}
+    assert clean[1] == f"[TERM] {far} [EMAIL] {far} [TERM]" and clean[None] == "[TERM] [EMAIL]"
+
+
 # Decontamination
 
 
