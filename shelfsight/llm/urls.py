@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfsight.llm.common import fold
+from shelfsight.llm.common import fold, let
 from shelfsight.llm.graph import components
 from shelfsight.session import stage
 
@@ -37,7 +39,10 @@ class AliasRules:
 # The whole of `scheme://host/path?query#fragment`; the first :// of the text counts.
 _ADDRESS = r"^(?s)(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?"
 _CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*?\bhref\s*=\s*["']?([^"'>\s]+)"""
-_REDIRECT = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*([^"'>\s]+)"""
+_REDIRECT = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*?\burl\s*=\s*["']?([^"'>\s]+)"""
+_BASE = r"""(?is)<base\b[^>]*?\bhref\s*=\s*["']?([^"'>\s]+)"""
+_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
+_NAMED = json.dumps({f"&{name}": x for name, x in html5.items() if name.endswith(";") and x < "\u0100"})  # ASCII and Latin-1
 
 
 def host_of(url: Column) -> Column:
@@ -58,24 +63,58 @@ def rule_of(host: Column, path: Column, rules: Sequence[UrlRule]) -> Column:
     return F.coalesce(*fits, F.lit(None).cast("int"))
 
 
+def _folded(path: Column) -> Column:
+    """A path without the steps ``.`` and ``..``; none leads above the root."""
+    def step(s: Column, x: Column) -> Column:
+        up = F.slice(s, F.lit(1), F.greatest(F.size(s) - 1, F.lit(1)))
+        return F.when(x == ".", s).when(x == "..", up).otherwise(F.concat(s, F.array(x)))
+
+    walked = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step)
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.array_join(walked, "/")).otherwise(path)
+
+
 def plain_address(url: Column, rules: AliasRules = AliasRules()) -> Column:
     """The address without scheme, fragment and all that ``rules`` call without effect; null for what is no address."""
     host = F.regexp_replace(host_of(url), rf"^(?:{'|'.join(rules.prefixes)})\.(?=[^.]+\.)", "")
-    path = F.regexp_replace(path_of(url), rules.suffix, "")
+    path = F.regexp_replace(_folded(path_of(url)), rules.suffix, "")
     query = F.regexp_replace(F.regexp_extract(url, _ADDRESS, 4), r"^\?", "")
     query = F.regexp_replace(query, rf"(?:^|&)(?:{rules.tracking})(?:=[^&]*)?(?=&|$)", "")
     query = F.regexp_replace(query, "^&", "")
     return F.when(host != "", F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))))
 
 
+def _decoded(link: Column) -> Column:
+    """A value of an attribute with its character references put in, each once."""
+    def one(x: Column) -> Column:
+        hexadecimal = x.rlike("^&#[xX]")
+        digits = F.regexp_replace(x, "^&#[xX]?0*|;$", "")
+        code = F.when(F.length(digits) <= 7, F.conv(digits, 16, 10).try_cast("long"))
+        code = F.when(hexadecimal, code).otherwise(F.when(F.length(digits) <= 7, digits.try_cast("long")))
+        named = F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), x)
+        return F.when(x.startswith("&#"), let(code, character)).otherwise(F.coalesce(named, x))
+
+    def character(code: Column) -> Column:
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+    hits = F.concat(F.transform(F.regexp_extract_all(link, F.lit(_REFERENCE), F.lit(0)), one), F.array(F.lit("")))
+    pieces = F.zip_with(F.split(link, _REFERENCE, -1), hits, lambda gap, hit: F.concat(gap, hit))
+    return F.when(link.contains("&"), F.array_join(pieces, "")).otherwise(link)
+
+
 def _target(url: Column, link: Column) -> Column:
-    """A link of a page as an address of its own; links relative to the folder of the page are passed over."""
+    """A link of a page as an address of its own, steps of its path not yet folded; null for a scheme without a host, such as ``mailto:``."""
     site = F.regexp_extract(url, r"^(?s)(.*?://[^/?#]*)", 1)
     scheme = F.regexp_extract(url, r"^(?s)(.*?:)//", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path_of(url), r"^(?s)(.*/)", 1), F.lit("")), F.lit("/"))
     return (
-        F.when(link.contains("://"), link)
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
         .when(link.startswith("//"), F.concat(scheme, link))
         .when(link.startswith("/"), F.concat(site, link))
+        .when(link.startswith("?"), F.concat(site, path_of(url), link))
+        .when(link.startswith("#"), url)
+        .otherwise(F.concat(site, folder, link))
     )
 
 
@@ -86,8 +125,9 @@ def judge(pages: DataFrame, rules: Sequence[UrlRule], alias: AliasRules = AliasR
     takes the decision of the addresses that are the same page: addresses alike
     but for what ``alias`` names, and those joined by redirects
     (``<meta http-equiv="refresh">``) or canonical links
-    (``<link rel="canonical">``) in ``html``, over any number of steps. Among
-    them an explicit allow goes before a block; if none has a rule, ``default``
+    (``<link rel="canonical">``) in ``html``, over any number of steps. Links
+    may be relative to the page or to its ``<base href>`` and hold character
+    references; ``.`` and ``..`` in paths are folded. Among them an explicit allow goes before a block; if none has a rule, ``default``
     holds. ``page_class`` is the smallest plain address of the class.
 
     Only classes of plain addresses that a link joins enter the graph, and a
@@ -100,14 +140,20 @@ def judge(pages: DataFrame, rules: Sequence[UrlRule], alias: AliasRules = AliasR
     url = F.col("url")
     host, path = host_of(url), path_of(url)
     html = F.col("html") if "html" in pages.columns else F.lit(None).cast("string")
-    link = lambda pattern: F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
+    found = lambda pattern: F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
+
+    def linked(base: Column) -> Column:
+        plain = lambda raw: let(_decoded(raw), lambda x: let(_target(base, x), lambda t: plain_address(t, alias)))
+        link = lambda pattern: let(found(pattern), lambda raw: F.when(raw.isNotNull(), plain(raw)))
+        return F.array(link(_CANONICAL), link(_REDIRECT))
+
+    base = let(found(_BASE), lambda raw: F.when(raw.isNotNull(), let(_decoded(raw), lambda x: _target(url, x))))
     first = pages.select(
         "page_id", host.alias("host"), path.alias("path"), plain_address(url, alias).alias("plain"),
-        plain_address(_target(url, link(_CANONICAL)), alias).alias("canonical"),
-        plain_address(_target(url, link(_REDIRECT)), alias).alias("redirect"),
+        let(F.coalesce(base, url), linked).alias("links"),
     )
     first = stage(first.withColumn("place", rule_of(F.col("host"), F.col("path"), rules)), "url-rules")
-    edges = first.select(F.col("plain").alias("a"), F.explode(F.array("canonical", "redirect")).alias("b")).where("a <> b")
+    edges = first.select(F.col("plain").alias("a"), F.explode("links").alias("b")).where("a <> b")
     joined = components(edges).select(F.col("node").alias("plain"), "component")
     first = first.join(joined, "plain", "left").withColumn("page_class", F.coalesce("component", "plain"))
 

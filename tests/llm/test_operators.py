@@ -208,6 +208,24 @@ def test_url_decisions_reach_aliases(spark):
     assert urls.judge(pages.where("false"), URL_RULES).count() == 0 and urls.judge(pages, URL_RULES).count() == len(rows)
 
 
+def test_url_links_relative_to_the_page(spark):
+    """Every alias names /de/7 of a blocked folder, or of a host allowed there, through a link of another form."""
+    refresh, canonical = '<meta http-equiv="refresh" content="0; url={}">', '<link href="{}" rel="canonical">'
+    forms = [
+        ("http://a.example.com/x/y/p", refresh, "../../de/7.html"), ("http://b.example.com/de/x/p?q=1#f", refresh, "./../7"), ("http://c.example.com", canonical, "de/7"),
+        ("http://d.example.com/x/", canonical, "../../../de/./7"), ("http://e.example.com/x", canonical, "&#x2F;de&#47;7?a=1&amp;b=2"),
+        ("http://f.net/x", '<base href="http://f.example.com/de/">' + canonical, "7"), ("http://g.net/q", refresh, "'//g.example.com/de/7'"),
+    ]
+    rows = [(k, url, html.replace("{}", to)) for k, (url, html, to) in enumerate(forms)]
+    rows += [(20, "http://h.net/x", canonical.replace("{}", "?id=3&amp;z")), (21, "http://h.net/x?id=3&z", canonical.replace("{}", "http://h.example.com/de/7"))]
+    rows += [(30, "http://i.net/x", canonical.replace("{}", "mailto:a@i.example.com")), (31, "http://j.net/x", canonical.replace("{}", "/y?u=http://j.example.com/de/7"))]
+    blocked = [(100 + k, f"http://{c}.example.com/de/7" + ("?a=1&b=2" if c == "e" else ""), "") for k, c in enumerate("abcdefghij")]
+    pages = spark.createDataFrame(rows + blocked, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, URL_RULES).collect()}
+    assert [k for k, _, _ in rows if got[k] == "block"] == [0, *range(1, 7), 20, 21]
+    assert all(got[k] == "block" for k, _, _ in blocked)
+
+
 # Near-duplicates
 
 
