@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfsight.llm import chat, decontamination, html, language, neardup, packing, pii, quality, tokens, urls
+from shelfsight.llm import (
+    chat, decontamination, html, infill, language, linefield, neardup, packing, periodic, pii, quality, tokens, urls,
+)
 from shelfsight.llm.common import table
 from shelfsight.llm.sql import ORACLES
 
@@ -96,11 +98,28 @@ def op10_token_counts(spark: SparkSession, directory: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_periodic_runs(spark: SparkSession, directory: str) -> DataFrame:
+    seed = F.crc32(F.col("doc_id").cast("string"))
+    return periodic.periodic_runs(table(spark, directory, "documents"), seed=seed).drop("runs", "collapsed")
+
+
+def op12_fill_in_middle(spark: SparkSession, directory: str) -> DataFrame:
+    return infill.infill(table(spark, directory, "documents")).drop("output")
+
+
+def op13_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
+    docs, labels = table(spark, directory, "documents"), table(spark, directory, "labels")
+    held_out = F.coalesce(linefield.fold_of(F.col("doc_id")) == 2, F.lit(False))
+    field = linefield.learn(docs, labels.where(~held_out))
+    return linefield.quality(docs, field).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing, op2_quality_rules, op3_url_filters, op4_near_duplicates, op5_language,
         op6_html_extraction, op7_pii, op8_tool_calls, op9_decontamination, op10_token_counts,
+        op11_periodic_runs, op12_fill_in_middle, op13_quality_classifier,
     )
 }
 

@@ -1,8 +1,9 @@
 """SQL counterparts, written for DuckDB independently of the Spark code.
 
 None for packing, token counts (a tokenizer), language (a compressor), page
-extraction (a parser) and personal data (positions of backtracking patterns):
-tests hold these against brute force.
+extraction (a parser), personal data (positions of backtracking patterns),
+periodic runs (a checksum of ids) and the quality classifier (a fit): tests hold
+these against brute force, the last one against labels it has not seen.
 """
 
 from __future__ import annotations
@@ -162,10 +163,35 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN words USING (k) LEFT JOIN named USING (k)
 """
 
+FILL_IN = rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*{_SPACE}|[\x20\x09-\x0D]+') AS u
+    FROM documents),
+drawn AS (
+    SELECT doc_id, text, u, len(u)::BIGINT AS n,
+           list_transform([h[1:8], h[9:16], h[17:24], h[25:32]], lambda x: ('0x' || x)::BIGINT) AS h FROM d),
+cut AS (
+    SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS lo, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS hi,
+           CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h[3] % 100 >= 50 THEN 'plain'
+                WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn),
+parts AS (
+    SELECT *, coalesce(array_to_string(u[1:lo], ''), '') AS a, coalesce(array_to_string(u[lo + 1:hi], ''), '') AS b,
+           coalesce(array_to_string(u[hi + 1:n], ''), '') AS c
+    FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b
+              ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLES = {
     "op2_quality_rules": QUALITY,
     "op3_url_filters": URLS,
     "op4_near_duplicates": NEAR_DUPLICATES,
     "op8_tool_calls": TOOL_CALLS,
     "op9_decontamination": DECONTAMINATION,
+    "op12_fill_in_middle": FILL_IN,
 }
