@@ -10,13 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfsight.functions import ordering
 from shelfsight.session import stage
 
 ACCURACY = 100_000
-_FANOUT = 32
 
 
 def _melt(df: DataFrame, metrics: Mapping[str, Column], keys: Sequence[str]) -> DataFrame:
@@ -153,60 +152,31 @@ def quantiles_by(
     )
 
 
-def counts_below(df: DataFrame, value: Column, fanout: int = _FANOUT) -> DataFrame:
-    """``v, n, below``: for each distinct value its count and how many rows are smaller.
+def spearman(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """A row ``a, b, n, rho`` for each pair of columns, over the rows where both are present.
 
-    A total order over the table without a one-task window: distinct values go
-    to ``fanout²`` buckets between sketch bounds, the bucket totals (one row per
-    bucket) are summed up, and each bucket is ordered by itself. A value finds
-    its bucket in two steps of ``fanout`` comparisons.
+    Rows with the same values of a pair collapse first, so a hot value costs no
+    more than a rare one. All columns of all pairs are ranked at once.
     """
-    rows = df.select(value.cast("double").alias("v")).where("v is not null and not isnan(v)")
-    distinct = rows.groupBy("v").agg(F.count("*").alias("n"))
-    # From numpy it is one literal, not an expression per element.
-    cuts = F.lit(np.arange(1, fanout**2) / fanout**2)
-    sketch = F.percentile_approx("v", cuts, F.lit(10 * fanout**2))
-    coarse = F.transform(F.sequence(F.lit(1), F.lit(fanout - 1)), lambda i: F.col("b")[i * fanout - 1])
-    bounds = distinct.agg(sketch.alias("b")).select(F.struct(F.col("b").alias("fine"), coarse.alias("coarse")).alias("s"))
-    placed = distinct.withColumn("_bounds", bounds.scalar())
-    placed = placed.withColumn("_c", F.size(F.filter("_bounds.coarse", lambda b: b < F.col("v"))))
-    near = F.slice("_bounds.fine", F.col("_c") * fanout + 1, F.lit(fanout - 1))
-    placed = placed.select(
-        "v", "n", (F.col("_c") * fanout + F.size(F.filter(near, lambda b: b < F.col("v")))).alias("_b")
+    number = lambda c: F.col(f"`{c}`").cast("double")
+    each = F.array(
+        *[F.struct(F.lit(i).alias("pair"), number(a).alias("x"), number(b).alias("y")) for i, (a, b) in enumerate(pairs)]
     )
-    totals = placed.groupBy(F.col("_b").alias("_tb")).agg(F.sum("n").alias("_tn"))
-    running = Window.orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("_tb", F.coalesce(F.sum("_tn").over(running), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("_b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.join(F.broadcast(totals), F.col("_b") == F.col("_tb")).select(
-        "v", "n", (F.col("_base") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("below")
-    )
-
-
-def average_ranks(df: DataFrame, value: Column) -> DataFrame:
-    """``v, rank`` with ties sharing their mean rank (first rank is 1)."""
-    return counts_below(df, value).select("v", (F.col("below") + (F.col("n") + 1) / 2).alias("rank"))
-
-
-def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
-    """One row ``a, b, n, rho`` over the rows where both columns are present.
-
-    Rows with the same pair of values collapse first, so a hot value costs no
-    more than a rare one.
-    """
-    pairs = (
-        df.select(F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        .where("x is not null and y is not null and not isnan(x) and not isnan(y)")
-    )
-    weighted = pairs.groupBy("x", "y").agg(F.count("*").alias("w"))
-    rank_x = average_ranks(pairs, F.col("x")).select(F.col("v").alias("_vx"), F.col("rank").alias("rx"))
-    rank_y = average_ranks(pairs, F.col("y")).select(F.col("v").alias("_vy"), F.col("rank").alias("ry"))
-    ranked = weighted.join(rank_x, F.col("x") == F.col("_vx")).join(rank_y, F.col("y") == F.col("_vy"))
+    present = "x is not null and y is not null and not isnan(x) and not isnan(y)"
+    counted = df.select(F.inline(each)).where(present).groupBy("pair", "x", "y").agg(F.count("*").alias("w"))
+    counted = stage(counted, "value_pairs")
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("v")) for side in ("x", "y")])
+    values = counted.select("pair", "w", F.inline(sides)).groupBy("pair", "side", "v").agg(F.sum("w").alias("n"))
+    ranks = ordering.average_ranks(values, ["pair", "side"], "v", "n")
     # Mean rank is (n + 1) / 2 whatever the ties; centring first keeps the sums small.
-    centre = (pairs.agg(F.count("*").alias("c")).scalar() + 1) / 2
-    ranked = ranked.select("w", (F.col("rx") - centre).alias("dx"), (F.col("ry") - centre).alias("dy"))
+    ranks = stage(ranks.select("pair", "side", "v", (F.col("rank") - (F.col("size") + 1) / 2).alias("d")), "ranks")
+    ranked = counted
+    for side in ("x", "y"):
+        of_side = ranks.where(F.col("side") == side).select("pair", F.col("v").alias(side), F.col("d").alias(f"d{side}"))
+        ranked = ranked.join(of_side, ["pair", side])
     w, dx, dy = F.col("w"), F.col("dx"), F.col("dy")
-    return ranked.agg(
-        F.coalesce(F.sum("w"), F.lit(0)).alias("n"),
-        F.try_divide(F.sum(w * dx * dy), F.sqrt(F.sum(w * dx * dx) * F.sum(w * dy * dy))).alias("rho"),
-    ).select(F.lit(a).alias("a"), F.lit(b).alias("b"), "n", "rho")
+    found = ranked.groupBy("pair").agg(
+        F.sum("w").alias("n"), F.try_divide(F.sum(w * dx * dy), F.sqrt(F.sum(w * dx * dx) * F.sum(w * dy * dy))).alias("rho")
+    )
+    named = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, a string, b string")
+    return named.join(found, "pair", "left").select("a", "b", F.coalesce("n", F.lit(0)).alias("n"), "rho")

@@ -3,7 +3,7 @@
 Lift is concave in spend and outlets do not affect each other, so the best
 split takes the steps with the highest marginal lift. Steps of one outlet fall
 in value, which makes "give the next step to the best outlet" the same as
-"take the N best steps of all": a top-N, not a loop.
+"take the N best steps of all": a selection, not a loop.
 """
 
 from __future__ import annotations
@@ -12,10 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfsight import config
-from shelfsight.functions import quantiles, scalar as S
+from shelfsight.functions import ordering, quantiles, scalar as S
 
-# Up to this many steps a top-N is cheap: every task keeps at most that many rows.
-TOP_N_LIMIT = 1_000_000
 _EPS = 1e-9
 
 
@@ -53,24 +51,36 @@ def _marginal(headroom: Column, nth: Column, rules: config.BudgetRules) -> Colum
     return headroom * F.exp(-rules.k * (nth * rules.step)) * (1.0 - math.exp(-rules.k * rules.step))
 
 
-def _steps_of(df: DataFrame, per_outlet: int, rules: config.BudgetRules) -> DataFrame:
-    steps = df.select("outlet_id", "headroom", F.explode(F.sequence(F.lit(0), F.lit(per_outlet - 1))).alias("_nth"))
-    return steps.withColumn("_gain", _marginal(F.col("headroom"), F.col("_nth"), rules))
+def greedy_steps(df: DataFrame, rules: config.BudgetRules = config.BUDGET, close_steps: int = 1_000_000) -> DataFrame:
+    """``outlet_id, steps`` of the outlets that get any. Equal gains go to the smaller id.
 
-
-def greedy_steps(df: DataFrame, rules: config.BudgetRules = config.BUDGET, top_n_limit: int = TOP_N_LIMIT) -> DataFrame:
-    """``outlet_id, steps`` of the outlets that get any. Equal gains go to the smaller id."""
+    Two gains are looked for that the last step taken lies between. Each round
+    counts the steps above many gains in one aggregate, until no more than
+    ``close_steps`` lie between the two or they are all but equal. Steps above
+    both are taken by a formula; only those between are listed and put in order.
+    """
     total, per_outlet = max_steps(rules.total, rules.step), max_steps(rules.cap, rules.step)
     open_ = df.select("outlet_id", "headroom").where("headroom > 0")
+    none = open_.limit(0).select("outlet_id", F.lit(0).cast("bigint").alias("steps"))
     if total == 0 or per_outlet == 0:
-        return open_.limit(0).select("outlet_id", F.lit(0).cast("bigint").alias("steps"))
-    if total > top_n_limit:
-        return _steps_by_threshold(open_, total, per_outlet, rules, top_n_limit)
-    # Nobody beyond the first `total` outlets can get a step, as all first steps
-    # before theirs are worth more. Only these few are spread into steps.
-    front = open_.orderBy(F.col("headroom").desc(), "outlet_id").limit(total)
-    best = _steps_of(front, per_outlet, rules).orderBy(F.col("_gain").desc(), "outlet_id", "_nth").limit(total)
-    return best.groupBy("outlet_id").agg(F.count("*").alias("steps"))
+        return none
+    bounds = open_.agg(F.max("headroom").alias("high"), F.min("headroom").alias("low"), F.count("*").alias("n")).first()
+    if bounds.n * per_outlet <= total:
+        return open_.select("outlet_id", F.lit(per_outlet).cast("bigint").alias("steps"))
+    factor = 1.0 - math.exp(-rules.k * rules.step)
+    low = bounds.low * factor * math.exp(-rules.k * rules.step * per_outlet)
+    low, high = _bracket(open_, total, per_outlet, rules, low, bounds.high * factor, bounds.n * per_outlet, close_steps)
+    # The formula may be off by a rounding near the two gains; the margins put such steps among the listed ones.
+    sure = _steps_above(F.col("headroom"), F.lit(high * (1 + 1e-9)), per_outlet, rules)
+    upto = _steps_above(F.col("headroom"), F.lit(low * (1 - 1e-9)), per_outlet, rules)
+    split = open_.withColumns({"_sure": sure, "_upto": upto})
+    rest = total - split.agg(F.sum("_sure")).first()[0]
+    between = split.where("_upto > _sure").select("outlet_id", "headroom", F.explode(F.sequence("_sure", F.col("_upto") - 1)).alias("_nth"))
+    between = between.select("outlet_id", "_nth", _marginal(F.col("headroom"), F.col("_nth"), rules).alias("_gain"))
+    more = ordering.first_rows(between, rest, [F.col("_gain").desc(), F.col("outlet_id"), F.col("_nth")])
+    more = more.groupBy("outlet_id").agg(F.count("*").alias("_more"))
+    steps = F.col("_sure") + F.coalesce("_more", F.lit(0))
+    return split.join(more, "outlet_id", "left").select("outlet_id", steps.alias("steps")).where("steps > 0")
 
 
 def _steps_above(headroom: Column, gain: Column, per_outlet: int, rules: config.BudgetRules) -> Column:
@@ -80,103 +90,21 @@ def _steps_above(headroom: Column, gain: Column, per_outlet: int, rules: config.
     return F.when(first > gain, F.least(n, F.lit(per_outlet))).otherwise(0).cast("bigint")
 
 
-def _steps_by_threshold(
-    df: DataFrame, total: int, per_outlet: int, rules: config.BudgetRules, top_n_limit: int, probes: int = 64
-) -> DataFrame:
-    """The same split for a budget of very many steps.
-
-    Looks for a gain above which fewer than ``total`` steps lie, so few fewer
-    that the rest is a small top-N. Each round counts the steps above many
-    candidate gains in one aggregate. Steps at (nearly) the same gain can leave
-    the rest large; see :func:`_first_by_gain`.
-    """
-    bounds = df.agg(F.max("headroom").alias("high"), F.min("headroom").alias("low"), F.count("*").alias("n")).first()
-    if bounds.n == 0 or bounds.n * per_outlet <= total:
-        return df.select("outlet_id", F.lit(per_outlet).cast("bigint").alias("steps"))
-    factor = 1.0 - math.exp(-rules.k * rules.step)
-    high = bounds.high * factor * (1 + 1e-12)
-    low = bounds.low * factor * math.exp(-rules.k * rules.step * per_outlet) * (1 - 1e-12)
-    taken_at_high = 0
-    for _ in range(8):
+def _bracket(
+    df: DataFrame, total: int, per_outlet: int, rules: config.BudgetRules, low: float, high: float, below: int, close: int, probes: int = 64
+) -> tuple[float, float]:
+    """Gains ``low`` and ``high``: more than ``total`` steps lie above the first, no more than that above the second."""
+    above = 0
+    while below - above > close and high > low * (1 + 1e-9):
         ratio = (low / high) ** (1 / probes)
         gains = [high * ratio**i for i in range(1, probes)]
-        counts = df.agg(
-            *[F.sum(_steps_above(F.col("headroom"), F.lit(g), per_outlet, rules)).alias(f"c{i}") for i, g in enumerate(gains)]
-        ).first()
-        for g, c in zip(gains, counts):
-            if c > total:
-                low = g
-                break
-            high, taken_at_high = g, c
-        if total - taken_at_high <= top_n_limit // 2 or high / low < 1 + 1e-9:
-            break
-    sure = df.withColumn("_sure", _steps_above(F.col("headroom"), F.lit(high), per_outlet, rules))
-    # Steps between the two gains, with a margin for rounding at the lower one.
-    upto = _steps_above(F.col("headroom"), F.lit(low * (1 - 1e-12)), per_outlet, rules)
-    between = (
-        sure.withColumn("_upto", upto)
-        .where("_upto > _sure")
-        .select("outlet_id", "headroom", F.explode(F.sequence(F.col("_sure"), F.col("_upto") - 1)).alias("_nth"))
-    )
-    between = between.withColumn("_gain", _marginal(F.col("headroom"), F.col("_nth"), rules))
-    rest = total - taken_at_high
-    if rest <= top_n_limit:
-        more = between.orderBy(F.col("_gain").desc(), "outlet_id", "_nth").limit(rest)
-    else:
-        more = _first_by_gain(between, rest, top_n_limit)
-    more = more.groupBy("outlet_id").agg(F.count("*").alias("_more"))
-    return (
-        sure.select("outlet_id", "_sure")
-        .join(more, "outlet_id", "left")
-        .select("outlet_id", (F.col("_sure") + F.coalesce("_more", F.lit(0))).alias("steps"))
-        .where("steps > 0")
-    )
-
-
-def _first_by_gain(steps: DataFrame, n: int, top_n_limit: int) -> DataFrame:
-    """The ``n`` best steps when they are too many for a top-N.
-
-    Whole gain values are taken while they fit. One value may not: of its steps
-    the smaller ids are taken (:func:`_first_by_id`).
-    """
-    below = quantiles.counts_below(steps, -F.col("_gain"))
-    last = below.where(F.col("below") < n).orderBy(F.col("below").desc()).first()
-    gain, before, ties = -last.v, last.below, last.n
-    whole = steps.where(F.col("_gain") > gain).select("outlet_id", "_nth")
-    at_gain = steps.where(F.col("_gain") == gain).select("outlet_id", "_nth")
-    if before + ties <= n:
-        return whole.unionByName(at_gain)
-    return whole.unionByName(_first_by_id(at_gain, n - before, top_n_limit))
-
-
-def _first_by_id(steps: DataFrame, n: int, top_n_limit: int) -> DataFrame:
-    """The ``n`` steps with the smallest ids.
-
-    Follows the ids two characters at a time: a round counts the steps per next
-    pair of characters (few rows) and goes on in the one pair that does not fit
-    as a whole, until the rest is a small top-N.
-    """
-    taken = F.lit(False)
-    prefix, left = "", n
-    inside = steps
-    while left > top_n_limit:
-        at = len(prefix) + 1
-        pairs = inside.groupBy(F.substring("outlet_id", at, 2).alias("p")).agg(F.count("*").alias("c")).orderBy("p").collect()
-        if len(pairs) == 1 and len(pairs[0].p) < 2:
-            break
-        for pair in pairs:
-            if pair.c > left:
+        counts = df.agg(*[F.sum(_steps_above(F.col("headroom"), F.lit(g), per_outlet, rules)).alias(f"c{i}") for i, g in enumerate(gains)])
+        for gain, count in zip(gains, counts.first()):
+            if count > total:
+                low, below = gain, count
                 break
-            taken = taken | F.col("outlet_id").startswith(prefix + pair.p) if len(pair.p) == 2 else taken | (
-                F.col("outlet_id") == prefix + pair.p
-            )
-            left -= pair.c
-        else:
-            return steps
-        prefix += pair.p
-        inside = steps.where(F.col("outlet_id").startswith(prefix))
-    rest = inside.orderBy("outlet_id", "_nth").limit(left)
-    return steps.where(taken).unionByName(rest)
+            high, above = gain, count
+    return low, high
 
 
 def lift(headroom: Column, spend: Column, k: float = config.BUDGET.k) -> Column:

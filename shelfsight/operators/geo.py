@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfsight import config
+from shelfsight.session import stage
 
 MAX_LATITUDE = 85.0
 
@@ -96,56 +98,113 @@ def places(df: DataFrame, lat: str, lon: str, *more: str, count: str = "n") -> D
     return located.groupBy(lat, lon, *more).agg(F.count("*").alias(count))
 
 
-def densest_cell(spots: DataFrame, lat: str, lon: str, radius_m: float) -> int:
-    """Most distinct positions in one grid cell of the radius."""
-    cells = spots.select(_row(F.col(lat), radius_m).alias("_r"), F.col(lon).alias("_lon"))
-    cells = cells.select("_r", _cell(F.col("_r"), F.col("_lon"), radius_m).alias("_c"))
-    return cells.groupBy("_r", "_c").count().agg(F.max("count")).first()[0] or 0
+# Beyond this many halvings cells are below a millimetre: what is in them is compared directly.
+_DEEPEST = 24
 
 
-def counts_within(spots: DataFrame, lat: str, lon: str, n: str, radius_m: float, parts: int = 8) -> DataFrame:
-    """``lat, lon, within``: rows (``n`` of them per spot) within the radius of each spot, itself included.
+def _bands(spots: DataFrame, lat: str, lon: str, n: str, height: float) -> DataFrame:
+    """``lat, lon, n`` and the position in cells of the top level, whole numbers being the cell's corner.
 
-    For crowded places. Spots are summed up in small cells, ``parts`` to a radius
-    in each direction, and it is the cells that are paired: their number depends
-    on the area, not on the rows. Two cells that lie within the radius as a whole
-    count as a whole, however many spots they hold. Only spots of cells at the
-    rim, where the bounds on their distance leave it open, are paired one by one.
+    Cells of a row are as wide as its middle asks for to be square. Halving a
+    cell doubles both numbers, so the cell of any level is a floor of them.
     """
-    height = _row_height(radius_m) / parts
-    row = F.floor(F.col(lat) / height).cast("long")
-
-    def width(r: Column) -> Column:
-        return F.lit(height) / F.greatest(F.cos(F.radians((r + 0.5) * height)), F.lit(0.05))
-
-    placed = spots.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(lat, lon, n, row.alias("_r"))
-    placed = placed.withColumn("_c", F.floor(F.col(lon) / width(F.col("_r"))).cast("long"))
-    low = F.least(F.abs(F.col("_r")), F.abs(F.col("_r") + 1)) * height
-    # No point of a cell is further from its middle: half the height plus half the width at its widest.
-    reach = config.EARTH_RADIUS_M * (
-        F.radians(F.lit(height)) / 2 + F.cos(F.radians(low)) * F.radians(width(F.col("_r"))) / 2
-    )
-    cells = placed.groupBy("_r", "_c").agg(F.sum(n).alias("_n")).select(
-        "_r",
-        "_c",
-        "_n",
-        ((F.col("_r") + 0.5) * height).alias("_lat"),
-        ((F.col("_c") + 0.5) * width(F.col("_r"))).alias("_lon"),
-        reach.alias("_reach"),
-    )
-    others = cells.select(*[F.col(c).alias(f"{c}2") for c in cells.columns])
+    y = F.col(lat) / height
+    placed = spots.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(lat, lon, n, y.alias("_y"))
+    return placed.withColumn("_x", F.col(lon) / _band_width(F.floor("_y"), height))
+
+
+def _band_width(top_row: Column, height: float) -> Column:
+    return F.lit(height) / F.greatest(F.cos(F.radians((top_row + 0.5) * height)), F.lit(0.05))
+
+
+def _cells(placed: DataFrame, n: str, level: int, suffix: str) -> DataFrame:
+    """The occupied cells of a level: row, column, positions and rows in it."""
+    row, column = (F.floor(F.col(c) * float(1 << level)).cast("long").alias(f"{k}{suffix}") for c, k in (("_y", "_r"), ("_x", "_c")))
+    return placed.groupBy(row, column).agg(F.count("*").alias(f"_k{suffix}"), F.sum(n).alias(f"_n{suffix}"))
+
+
+def _middle(level: int, height: float, suffix: str) -> tuple[Column, Column, Column]:
+    """Latitude and longitude of a cell's middle, and how far from it a point of the cell can be."""
+    row, column, scale = F.col(f"_r{suffix}"), F.col(f"_c{suffix}"), float(1 << level)
+    high, width = height / scale, _band_width(F.shiftright(row, level), height) / scale
+    low = F.radians(F.least(F.abs(row), F.abs(row + 1)) * high)
+    half = F.hypot(F.lit(math.radians(high) / 2), F.cos(low) * F.radians(width) / 2)
+    return (row + 0.5) * high, (column + 0.5) * width, 2 * config.EARTH_RADIUS_M * F.asin(F.least(half / 2, F.lit(1.0)))
+
+
+def _undecided(pairs: DataFrame, level: int, height: float, radius_m: float) -> DataFrame:
+    """Pairs of cells that are not out of reach, with ``_inside`` where all of both is within the radius."""
+    lat1, lon1, reach1 = _middle(level, height, "1")
+    lat2, lon2, reach2 = _middle(level, height, "2")
+    kept = [f"_{k}{side}" for side in "12" for k in "rckn"]
+    measured = pairs.select(*kept, haversine_m(lat1, lon1, lat2, lon2).alias("_d"), (reach1 + reach2).alias("_s"))
+    inside = F.col("_d") + F.col("_s") <= radius_m * (1 - 1e-9)
+    return measured.where(F.col("_d") - F.col("_s") <= radius_m * (1 + 1e-9)).select(*kept, inside.alias("_inside"))
+
+
+def refine(placed: DataFrame, n: str, height: float, radius_m: float, direct: int) -> tuple[DataFrame, DataFrame]:
+    """(whole, rim): pairs of cells wholly within the radius, and pairs left to compare position by position.
+
+    Both name a level and the cells. A quadtree is walked from two sides at
+    once, a level per round: a pair of cells within the radius counts as a whole,
+    one out of reach is dropped, and one at the rim goes on with the halves of
+    both cells, until no more than ``direct`` pairs of positions are in it.
+    """
+    top = [_cells(placed, n, 0, side) for side in "12"]
+    sited = [c.withColumns(dict(zip((f"_lat{k}", f"_lon{k}"), _middle(0, height, k)[:2]))) for c, k in zip(top, "12")]
     widest = radius_m + 3 * config.EARTH_RADIUS_M * math.radians(height)
-    near = radius_join(cells, others, widest, ("_lat", "_lon"), ("_lat2", "_lon2"))
-    slack = F.col("_reach") + F.col("_reach2")
-    inside = F.col("distance_m") + slack <= radius_m * (1 - 1e-9)
-    outside = F.col("distance_m") - slack > radius_m * (1 + 1e-9)
-    whole = near.where(inside).groupBy("_r", "_c").agg(F.sum("_n2").alias("_whole"))
-    rim = near.where(~inside & ~outside).select("_r", "_c", "_r2", "_c2")
-    partner = placed.select(
-        F.col(lat).alias("_lat2"), F.col(lon).alias("_lon2"), F.col(n).alias("_n2"), F.col("_r").alias("_r2"), F.col("_c").alias("_c2")
+    pairs = radius_join(sited[0], sited[1], widest, ("_lat1", "_lon1"), ("_lat2", "_lon2"))
+    whole, rim = [], []
+    for level in range(_DEEPEST + 1):
+        near = stage(_undecided(pairs, level, height, radius_m), "near_cells")
+        named = [F.lit(level).alias("_level"), "_r1", "_c1", "_r2", "_c2", "_n2"]
+        few = F.col("_k1") * F.col("_k2") <= (direct if level < _DEEPEST else 1 << 62)
+        whole.append(near.where("_inside").select(*named))
+        rim.append(near.where(~F.col("_inside") & few).select(*named))
+        open_ = near.where(~F.col("_inside") & ~few).select("_r1", "_c1", "_r2", "_c2")
+        if open_.isEmpty():
+            break
+        halves = []
+        for side in "12":
+            cells = _cells(placed, n, level + 1, side)
+            parent = [F.shiftright(f"_{k}{side}", 1).alias(f"_p{k}") for k in "rc"]
+            halves.append(cells.select("*", *parent).withColumnsRenamed({"_pr": f"_pr{side}", "_pc": f"_pc{side}"}))
+        pairs = open_.withColumnsRenamed({f"_{k}{side}": f"_p{k}{side}" for side in "12" for k in "rc"})
+        pairs = pairs.join(halves[0], ["_pr1", "_pc1"]).join(halves[1], ["_pr2", "_pc2"])
+    return reduce(DataFrame.unionByName, whole), reduce(DataFrame.unionByName, rim)
+
+
+def counts_within(spots: DataFrame, lat: str, lon: str, n: str, radius_m: float, direct: int = 1024) -> DataFrame:
+    """``lat, lon, within``: rows (``n`` of them per spot) within the radius of each spot, itself included.
+
+    Distinct spots are expected (see :func:`places`). Cells that lie within the
+    radius as a whole are counted, not paired; only positions in cells at the rim
+    of each other's circle are compared, in cells that get smaller where positions
+    are dense. In an area of a given size the comparisons grow with the power 1.5
+    of the positions, where listing pairs grows with the square.
+    """
+    if radius_m <= 0:
+        raise ValueError("the radius must be positive")
+    height = _row_height(radius_m) / 2
+    placed = stage(_bands(spots, lat, lon, n, height), "spots")
+    whole, rim = refine(placed, n, height, radius_m, direct)
+    deep = rim.unionByName(whole).agg(F.max("_level")).first()[0] or 0
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(level).alias("_level"),
+                F.floor(F.col("_y") * float(1 << level)).cast("long").alias("_r"),
+                F.floor(F.col("_x") * float(1 << level)).cast("long").alias("_c"),
+            )
+            for level in range(deep + 1)
+        ]
     )
+    keyed = placed.select(lat, lon, n, F.inline(cells))
+    here = keyed.withColumnsRenamed({"_r": "_r1", "_c": "_c1"})
+    there = keyed.withColumnsRenamed({"_r": "_r2", "_c": "_c2", lat: "_lat2", lon: "_lon2", n: "_there"})
+    counted = whole.groupBy("_level", "_r1", "_c1").agg(F.sum("_n2").alias("_part"))
+    counted = here.join(counted, ["_level", "_r1", "_c1"]).select(lat, lon, "_part")
     distance = haversine_m(F.col(lat), F.col(lon), F.col("_lat2"), F.col("_lon2"))
-    single = placed.join(rim, ["_r", "_c"]).join(partner, ["_r2", "_c2"]).where(distance <= radius_m)
-    single = single.groupBy(lat, lon).agg(F.sum("_n2").alias("_single"))
-    total = F.coalesce("_whole", F.lit(0)) + F.coalesce("_single", F.lit(0))
-    return placed.join(whole, ["_r", "_c"], "left").join(single, [lat, lon], "left").select(lat, lon, total.alias("within"))
+    compared = here.join(rim.drop("_n2"), ["_level", "_r1", "_c1"]).join(there, ["_level", "_r2", "_c2"]).where(distance <= radius_m)
+    compared = compared.groupBy(lat, lon).agg(F.sum("_there").alias("_part"))
+    return counted.unionByName(compared).groupBy(lat, lon).agg(F.sum("_part").alias("within"))

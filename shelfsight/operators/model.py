@@ -6,9 +6,8 @@ import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfsight import config
@@ -44,24 +43,33 @@ def regression_columns(df: DataFrame, target: str) -> list[str]:
     return numeric_columns(df, {target, "outlet_id", "peer_cluster", "peer_ceiling"} | history)
 
 
-def feature_matrix(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ("outlet_id",)) -> tuple[DataFrame, list[str]]:
-    """``keep`` plus a vector ``features``: medians for gaps, then mean 0 and deviation 1.
+def feature_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ("outlet_id",)) -> tuple[DataFrame, list[str]]:
+    """``keep`` plus ``features``, an array of numbers: medians for gaps, then mean 0 and deviation 1.
 
-    Columns without any value are left out, as they have no median.
+    Medians are exact; the deviation is that of the whole population, and a
+    column without any is 0 throughout. Columns without a value are left out, as
+    they have no median. Two one-row jobs find the medians, means and deviations.
     """
     if not columns:
         return df.select(*keep), []
-    seen = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    used = [c for i, c in enumerate(columns) if seen[i]]
-    names = [f"x{i}" for i in range(len(used))]
-    flat = df.select(*keep, *[S.not_nan(F.col(f"`{c}`").cast("double")).alias(n) for c, n in zip(used, names)])
-    filled = [f"f{n}" for n in names]
-    steps = [
-        Imputer(strategy="median", relativeError=1e-4, inputCols=names, outputCols=filled),
-        VectorAssembler(inputCols=filled, outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-    ]
-    return Pipeline(stages=steps).fit(flat).transform(flat).select(*keep, "features"), used
+    given = {c: S.not_nan(F.col(f"`{c}`").cast("double")) for c in columns}
+    medians = quantiles.quantile_row(df, {f"x{i}": v for i, v in enumerate(given.values())}, [0.5]).first()
+    used = [c for i, c in enumerate(columns) if medians[f"x{i}"] is not None]
+    if not used:
+        return df.select(*keep), []
+    filled = [F.coalesce(given[c], F.lit(medians[f"x{i}"][0])) for i, c in enumerate(columns) if c in used]
+    about = df.agg(
+        *[F.avg(v).alias(f"m{i}") for i, v in enumerate(filled)], *[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(filled)]
+    ).first()
+    # The spread of equal values may come out as a rounding error; it counts as none.
+    scale = [about[f"s{i}"] if about[f"s{i}"] > 1e-12 * abs(about[f"m{i}"]) else 1.0 for i in range(len(used))]
+    return df.select(*keep, F.array(*[(v - about[f"m{i}"]) / scale[i] for i, v in enumerate(filled)]).alias("features")), used
+
+
+def feature_matrix(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ("outlet_id",)) -> tuple[DataFrame, list[str]]:
+    """:func:`feature_values` with ``features`` as a vector, as the clustering takes it."""
+    values, used = feature_values(df, columns, keep)
+    return (values.withColumn("features", array_to_vector("features")) if used else values), used
 
 
 # ---------------------------------------------------------------------------
@@ -306,7 +314,7 @@ def coverage(df: DataFrame, columns: Sequence[str] = ESTIMATORS) -> DataFrame:
 def rank_agreement(df: DataFrame, columns: Sequence[str] = ESTIMATORS) -> DataFrame:
     """Spearman correlation of every two estimators."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    return reduce(DataFrame.unionByName, [quantiles.spearman(df, a, b) for a, b in pairs])
+    return quantiles.spearman(df, pairs)
 
 
 def uplift_over_history(df: DataFrame, probs: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9, 0.99)) -> DataFrame:

@@ -9,37 +9,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfsight import config
 from shelfsight.functions import quantiles, scalar as S
-from shelfsight.operators.geo import counts_within, densest_cell, places, radius_join
+from shelfsight.operators.geo import counts_within, places
 from shelfsight.session import stage
 
 # IQR of a standard normal distribution.
 _NORMAL_IQR = 1.349
 
 
-# With more distinct positions than this in one grid cell, pairs are not listed.
-CROWDED = 2_000
-
-
-def with_own_density(
-    features: DataFrame, radius_m: float = config.SPATIAL.own_radius_m, crowded: int = CROWDED
-) -> DataFrame:
+def with_own_density(features: DataFrame, radius_m: float = config.SPATIAL.own_radius_m, direct: int = 1024) -> DataFrame:
     """``own_network_density``: other outlets within the radius; 0 without coordinates.
 
     Positions are collapsed first, so outlets at one spot are counted, not
-    paired. How crowded the densest place is decides between pairing spots and
-    counting by small cells; both are exact.
+    paired; see :func:`counts_within` for the rest and for ``direct``.
     """
     if not {"latitude", "longitude"} <= set(features.columns):
         return features.withColumn("own_network_density", F.lit(0.0))
     spots = places(features, "latitude", "longitude", count="_here")
-    if densest_cell(spots, "latitude", "longitude", radius_m) > crowded:
-        near = counts_within(spots, "latitude", "longitude", "_here", radius_m)
-    else:
-        others = spots.select(
-            F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), F.col("_here").alias("_there")
-        )
-        near = radius_join(spots, others, radius_m, right_position=("_lat", "_lon"))
-        near = near.groupBy("latitude", "longitude").agg(F.sum("_there").alias("within"))
+    near = counts_within(spots, "latitude", "longitude", "_here", radius_m, direct)
     df = features.join(near, ["latitude", "longitude"], "left")
     density = F.coalesce((F.col("within") - 1).cast("double"), F.lit(0.0))
     return df.withColumn("own_network_density", density).drop("within")

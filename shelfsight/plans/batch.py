@@ -91,16 +91,17 @@ class Layout:
 def ingest(spark: SparkSession, layout: Layout, sources: Mapping[str, str] = config.SOURCE_FILES) -> DataFrame:
     """Exports to parquet with canonical names; returns and writes the manifest.
 
-    A missing export is noted and does not stop the others.
+    A missing export is noted and does not stop the others. Records with more
+    fields than their header go to the quarantine.
     """
-    entries = []
+    entries, run_id = [], uuid.uuid4().hex
     for name, file in sources.items():
         source, target = layout.raw(file), layout.bronze(name)
         if not files.path_exists(spark, source):
             logger.warning("no source file for %s: %s", name, source)
             entries.append((name, source, None, None, None, None, "MISSING"))
             continue
-        original, canonical, rows = files.ingest_csv(spark, source, target)
+        original, canonical, rows = files.ingest_csv(spark, source, target, layout.quarantine, name, run_id)
         entries.append((name, source, target, rows, original, canonical, "OK"))
     manifest = spark.createDataFrame(
         entries,

@@ -36,9 +36,9 @@ def b2(t: Tables) -> DataFrame:
 
 @query("b2_threshold_steps", sql("SELECT * FROM steps", "steps"))
 def b2_threshold(t: Tables) -> DataFrame:
-    """The same split by the method for very large budgets."""
+    """The same split with the search for the two gains carried on, as for very many steps."""
     s = prepared.scored(t)
-    return budget.greedy_steps(budget.allocation_inputs(s, model.factor_table(s)), top_n_limit=100)
+    return budget.greedy_steps(budget.allocation_inputs(s, model.factor_table(s)), close_steps=100)
 
 
 @query(

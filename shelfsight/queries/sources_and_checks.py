@@ -24,18 +24,51 @@ _FIRST = ", ".join(TRANSACTION_ORDER)
 # ---------------------------------------------------------------------------
 
 
+# What the exports below hold in their notes: line breaks, quotes and commas in quotes, accents, nothing.
+_NOTES = """CASE CAST(substring(outlet_id, 5) AS BIGINT) % 5 WHEN 0 THEN 'back' || chr(10) || 'yard, ' || chr(10) WHEN 1 THEN 'says "ok", twice'
+    WHEN 2 THEN 'caf' || chr(233) WHEN 3 THEN NULL ELSE 'plain' END"""
+_LINE = """outlet_id || ',' || outlet_type || ',' || coalesce(outlet_size, '') || ',' || CAST(cooler_count AS STRING)"""
+
+
+def _exports(t: Tables) -> str:
+    """Outlets as a UTF-8 and a Latin-1 export with broken lines, and a third one with stray quotes and surplus fields."""
+    path = stage_path(t.spark, "outlets_csv")
+    number = F.expr("CAST(substring(outlet_id, 5) AS BIGINT)")
+    noted = t.outlets.withColumn("cooler_count", F.col("cooler_count").cast("string")).withColumn("note", F.expr(_NOTES))
+    for name, rest, encoding in (("first", 0, "UTF-8"), ("second", 1, "ISO-8859-1")):
+        part = noted.where(number % 3 == rest)
+        part.write.option("header", True).option("escape", '"').option("encoding", encoding).csv(f"{path}/{name}")
+    tail = F.when(number % 2 == 0, ',6" pipe').otherwise(",a,,b")
+    line = F.concat(F.expr(_LINE), tail).alias("outlet_id,outlet_type,outlet_size,cooler_count,note")
+    raw = noted.where(number % 3 == 2).select(line)
+    raw.write.option("header", True).option("sep", "\x01").option("escapeQuotes", False).csv(f"{path}/third")
+    return f"{path}/*"
+
+
 @query(
     "s1_csv_scan",
     sql(
-        """SELECT outlet_id, nullif(outlet_type, '') AS outlet_type, outlet_size, CAST(cooler_count AS STRING) AS cooler_count
-           FROM outlets""",
+        f"""SELECT outlet_id, outlet_type, outlet_size, CAST(cooler_count AS STRING) AS cooler_count,
+                   CASE WHEN k % 3 = 2 THEN '6" pipe' ELSE note END AS note
+            FROM (SELECT *, CAST(substring(outlet_id, 5) AS BIGINT) AS k, {_NOTES} AS note FROM outlets) AS n
+            WHERE k % 3 <> 2 OR k % 2 = 0""",
         "outlets",
     ),
 )
 def csv_scan(t: Tables) -> DataFrame:
-    path = stage_path(t.spark, "outlets_csv")
-    files.write_csv(t.outlets, path)
-    return files.read_csv_resilient(t.spark, path)
+    return files.read_csv_with_surplus(t.spark, _exports(t))[0].drop(*files.INGEST_ORDER)
+
+
+@query(
+    "s1_csv_surplus",
+    sql(
+        f"""SELECT {_LINE} || ',a,,b' AS record FROM outlets
+            WHERE CAST(substring(outlet_id, 5) AS BIGINT) % 3 = 2 AND CAST(substring(outlet_id, 5) AS BIGINT) % 2 = 1""",
+        "outlets",
+    ),
+)
+def csv_surplus(t: Tables) -> DataFrame:
+    return files.read_csv_with_surplus(t.spark, _exports(t))[1].select("record")
 
 
 @query(
@@ -318,7 +351,6 @@ def constant_runs(t: Tables) -> engine.CheckResult:
             "group_keys": ["outlet_id"],
             "order": ["ts", "event_id"],
             "value_col": "step_value",
-            "chunk": F.col("day"),
             "min_run": 7,
         },
     )

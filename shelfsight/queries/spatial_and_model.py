@@ -115,8 +115,8 @@ def p8(t: Tables) -> DataFrame:
 
 @query("p8_own_density_crowded", sql("SELECT * FROM own_density", "own_density"))
 def p8_crowded(t: Tables) -> DataFrame:
-    """The same by the method for crowded places."""
-    return spatial.with_own_density(t.coordinates, crowded=0).select("outlet_id", "own_network_density")
+    """The same with small cells everywhere, as in a place a hundred times as crowded."""
+    return spatial.with_own_density(t.coordinates, direct=4).select("outlet_id", "own_network_density")
 
 
 @query(

@@ -8,14 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from shelfsight import config
-
-# Where a bronze row came from: place of its file among the files by name, byte offset
-# of its split, running number. Sorted by the three, rows are in file order, and together
-# they identify a row. They are numbers, as they travel through every shuffle of the checks.
-INGEST_ORDER = ("_src_file", "_src_offset", "_src_row")
-
-_REPLACEMENT = "�"
-
+from shelfsight.sources.records import INGEST_ORDER, read_records
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -36,72 +29,53 @@ def missing_to_null(df: DataFrame, tokens: Sequence[str] = config.MISSING_TOKENS
     return df.select(*out)
 
 
-def _scan_csv(spark: SparkSession, path: str, encoding: str, with_source: bool) -> DataFrame:
-    df = (
-        spark.read.option("header", True)
-        .option("encoding", encoding)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
-    if not with_source:
-        return df
-    columns = df.columns
-    # Local paths come with one slash here and three there.
-    names = sorted(re.sub(r"^file:/+", "file:/", n) for n in df.inputFiles())
-    placed = df.select(
-        "*",
-        F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("_path"),
-        F.col("_metadata.file_block_start").alias(INGEST_ORDER[1]),
-        F.monotonically_increasing_id().alias(INGEST_ORDER[2]),
-    )
-    # A row per file of the export; the planner knows its size and broadcasts it while small.
-    places = spark.createDataFrame(list(enumerate(names)), f"{INGEST_ORDER[0]} int, _name string")
-    joined = placed.join(places, F.col("_path") == F.col("_name"), "left")
-    known = F.coalesce(INGEST_ORDER[0], F.raise_error(F.concat(F.lit("file not listed: "), "_path")).cast("int"))
-    return joined.select(*[F.col(f"`{c}`") for c in columns], known.alias(INGEST_ORDER[0]), *INGEST_ORDER[1:])
+def read_csv_resilient(spark: SparkSession, path: str, with_source: bool = False) -> DataFrame:
+    """CSV with a header, all columns as text, missing tokens as NULL; see :func:`read_records`.
 
+    A record with more fields than the header fails the job that meets it. To
+    set such records aside instead, use :func:`read_csv_with_surplus`.
+    """
+    found = read_records(spark, path)
+    wrong = F.raise_error(F.concat(F.lit("more fields than the header: "), "surplus")).cast("boolean")
+    fits = F.when(F.col("surplus").isNull(), F.lit(True)).otherwise(wrong)
+    rows = missing_to_null(found.table.where(fits).drop("surplus"))
+    return rows if with_source else rows.drop(*INGEST_ORDER)
 
-def _undecodable(df: DataFrame) -> Column:
-    """Rows with bytes that were not UTF-8: such bytes arrive as U+FFFD instead of failing."""
-    broken = F.lit(any(_REPLACEMENT in c for c in df.columns))
-    for c in df.columns:
-        if c not in INGEST_ORDER:
-            broken = broken | F.coalesce(F.col(f"`{c}`").contains(_REPLACEMENT), F.lit(False))
-    return broken
 
+def read_csv_with_surplus(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, surplus): the rows with :data:`INGEST_ORDER`, and the records with more fields than the header as they stand."""
+    found = read_records(spark, path)
+    rows = missing_to_null(found.table.where("surplus is null").drop("surplus"))
+    return rows, _surplus(found.table)
 
-def read_csv_resilient(spark: SparkSession, path: str, with_source: bool = False) -> DataFrame:
-    """CSV with a header, all columns as text, missing tokens as NULL.
 
-    Read as UTF-8, or as Latin-1 when any byte is not UTF-8. Finding that out
-    takes a pass that stops at the first hit; :func:`ingest_csv` does without. A
-    byte-order mark is dropped by the reader.
-    """
-    df = _scan_csv(spark, path, "UTF-8", with_source)
-    if not df.where(_undecodable(df)).isEmpty():
-        df = _scan_csv(spark, path, "ISO-8859-1", with_source)
-    return missing_to_null(df)
+def _surplus(table: DataFrame) -> DataFrame:
+    return table.where("surplus is not null").select(*INGEST_ORDER, F.col("surplus").alias("record"))
 
 
-def ingest_csv(spark: SparkSession, path: str, target: str) -> tuple[list[str], list[str], int]:
+def ingest_csv(
+    spark: SparkSession, path: str, target: str, quarantine: str | None = None, dataset: str = "", run_id: str = ""
+) -> tuple[list[str], list[str], int]:
     """CSV to parquet with canonical names and the ingest order; returns old and new names and the row count.
 
-    Rows and undecodable rows are counted while the table is written, so a clean
-    export is read once. One that is not UTF-8 is written again from Latin-1.
+    Records with more fields than the header go to the quarantine, as the text
+    ``record`` with the reason ``surplus_fields``; without a quarantine they are
+    an error. All records are counted while the table is written.
     """
-    for encoding in ("UTF-8", "ISO-8859-1"):
-        raw = _scan_csv(spark, path, encoding, True)
-        seen = Observation()
-        counted = raw.observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.count_if(_undecodable(raw)).alias("undecodable")
+    found = read_records(spark, path)
+    seen = Observation()
+    extra = F.col("surplus").isNotNull()
+    counted = found.table.observe(seen, F.count_if(~extra).alias("rows"), F.count_if(extra).alias("surplus"))
+    table = canonicalise(missing_to_null(counted.where(~extra).drop("surplus")))
+    write_parquet(table, target)
+    if seen.get["surplus"]:
+        if quarantine is None:
+            raise ValueError(f"{seen.get['surplus']} records with more fields than the header in {path}")
+        rejected = _surplus(found.table).withColumns(
+            {"failure_reason": F.lit("surplus_fields"), "_dataset": F.lit(dataset)}
         )
-        table = canonicalise(missing_to_null(counted))
-        write_parquet(table, target)
-        if not seen.get["undecodable"]:
-            break
-    shown = [[c for c in df.columns if c not in INGEST_ORDER] for df in (raw, table)]
-    return shown[0], shown[1], seen.get["rows"]
+        append_quarantine(rejected, quarantine, run_id)
+    return found.columns, [c for c in table.columns if c not in INGEST_ORDER], seen.get["rows"]
 
 
 def slug(name: str) -> str:

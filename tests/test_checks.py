@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shelfsight import config
+from shelfsight.functions import ordering
 from shelfsight.operators import checks, engine
 from shelfsight.operators.checks import Step, register
 from shelfsight.operators.engine import CheckSpec, run_check, run_checks
@@ -114,23 +115,41 @@ def brute_runs(values, min_run):
     return out
 
 
-@pytest.mark.parametrize("piece", [1, 3, 5, 100])
-def test_constant_run_across_pieces(frame, piece):
-    rng = random.Random(piece)
+@pytest.fixture(params=[1, 5, 23, 60])
+def pieces(spark, request):
+    """That many ranges of rows, and no merging of small ones."""
+    settings = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_constant_run_across_pieces(frame, pieces):
+    rng = random.Random(pieces)
     data, want = [], set()
-    for g in "abc":
+    for g, size in (("a", 60), ("b", 60), ("c", 200), ("d", 3)):
         values = []
-        while len(values) < 60:
+        while len(values) < size:
             values += [rng.choice([0.0, 1.0, 2.0, None])] * rng.choice([1, 2, 6, 7, 9])
         want |= {(g, i) for i in brute_runs(values, 7)}
         data += [(g, i, v) for i, v in enumerate(values)]
     df = frame("g string, at int, v double", *data)
-    _, bad = run_check(
-        df, "constant_run", group_keys=["g"], order=["at"], value_col="v", chunk=F.floor(F.col("at") / piece), min_run=7
-    )
+    _, bad = run_check(df, "constant_run", group_keys=["g"], order=["at"], value_col="v", min_run=7)
     assert {(r.g, r.at) for r in bad.collect()} == want
 
 
+def test_one_group_at_one_moment_is_many_tasks(frame, pieces):
+    """All rows in one group, and one run through all of it."""
+    df = frame("g string, at int, v double", *[("a", i, 1.0 if i else 2.0) for i in range(600)])
+    _, bad = run_check(df, "constant_run", group_keys=["g"], order=["at"], value_col="v", min_run=599)
+    assert bad.count() == 599
+    cut = ordering.in_ranges(df, ["g", "at"], "test").groupBy("_part").count().collect()
+    assert len(cut) == pieces and max(r["count"] for r in cut) <= 3 * 600 / pieces + 3
+
+
 def test_blackout(frame):
     day = dt.date(2024, 1, 1)
     df = frame(

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from shelfsight.functions import quantiles as Q, scalar as S
+from shelfsight.functions import ordering, quantiles as Q, scalar as S
 
 
 def interpolated(values, p):
@@ -45,22 +45,36 @@ def test_quantiles_of_several_columns(frame):
     assert df.select(Q.global_median(df, F.col("a"))).first()[0] == 2.0
 
 
-def test_counts_below_and_ranks(spark):
+def test_ranks_of_several_groups(spark):
     rng = random.Random(3)
-    values = [float(rng.randint(0, 40)) for _ in range(500)] + [rng.random() * 40 for _ in range(500)]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    for r in Q.counts_below(df, F.col("v"), fanout=4).collect():
-        assert r.below == sum(x < r.v for x in values) and r.n == values.count(r.v)
-    ranks = {r.v: r["rank"] for r in Q.average_ranks(df, F.col("v")).collect()}
-    first = min(values)
-    assert ranks[first] == (values.count(first) + 1) / 2
+    values = {g: [float(rng.randint(0, 40)) for _ in range(size)] + [rng.random() * 40 for _ in range(size)] for g, size in (("a", 500), ("b", 3))}
+    df = spark.createDataFrame([(g, v) for g, own in values.items() for v in own], "g string, v double")
+    counted = df.groupBy("g", "v").agg(F.count("*").alias("n"))
+    found = ordering.average_ranks(counted, ["g"], "v", "n").collect()
+    assert len(found) == sum(len(set(own)) for own in values.values())
+    for r in found:
+        own = values[r.g]
+        assert r["rank"] == sum(x < r.v for x in own) + (own.count(r.v) + 1) / 2 and r["size"] == len(own)
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 199, 200, 500])
+def test_first_rows(spark, n):
+    rng = random.Random(n)
+    given = [(float(rng.randint(0, 3)), f"k{i:03d}") for i in range(200)]
+    df = spark.createDataFrame(given, "v double, k string")
+    found = ordering.first_rows(df, n, [F.col("v").desc(), F.col("k")])
+    assert sorted(map(tuple, found.collect())) == sorted(sorted(given, key=lambda r: (-r[0], r[1]))[:n])
 
 
 def test_spearman(frame):
     df = frame("a double, b double", (1.0, 2.0), (2.0, 1.0), (2.0, 4.0), (4.0, 4.0), (5.0, None))
     ra, rb = [1, 2.5, 2.5, 4], [2, 1, 3.5, 3.5]
-    assert Q.spearman(df, "a", "b").first().rho == pytest.approx(statistics.correlation(ra, rb))
-    assert Q.spearman(frame("a double, b double", (1.0, 1.0), (1.0, 2.0)), "a", "b").first().rho is None
+    found = {(r.a, r.b): r for r in Q.spearman(df, [("a", "b"), ("b", "a"), ("a", "a")]).collect()}
+    assert found["a", "b"].rho == pytest.approx(statistics.correlation(ra, rb)) and found["a", "b"].n == 4
+    assert found["b", "a"].rho == pytest.approx(found["a", "b"].rho) and (found["a", "a"].rho, found["a", "a"].n) == (pytest.approx(1.0), 5)
+    assert Q.spearman(frame("a double, b double", (1.0, 1.0), (1.0, 2.0)), [("a", "b")]).first().rho is None
+    none = Q.spearman(frame("a double, b double", (1.0, None), (None, 2.0)), [("a", "b")]).first()
+    assert (none.n, none.rho) == (0, None)
 
 
 def test_scalar_helpers(frame):

@@ -1,7 +1,9 @@
 import heapq
+import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -94,6 +96,18 @@ def test_feature_matrix_drops_empty_columns(synthetic):
     assert used == ["poi_total_500m"] and matrix.count() == 600
 
 
+def test_feature_values(frame):
+    df = frame("id int, a double, b int, same double", (1, 1.0, None, 0.1), (2, None, 4, 0.1), (3, 2.0, 8, 0.1), (4, float("nan"), 6, 0.1), (5, 9.0, 6, 0.1))
+    values, used = model.feature_values(df, ["a", "b", "same"], keep=("id",))
+    got = {r.id: r.features for r in values.collect()}
+    assert used == ["a", "b", "same"]
+    for k, column in enumerate(([1, 2, 2, 2, 9], [6, 4, 8, 6, 6])):
+        z = (np.array(column) - np.mean(column)) / np.std(column)
+        assert [got[i + 1][k] for i in range(5)] == pytest.approx(z.tolist())
+    assert [v[2] for v in got.values()] == pytest.approx([0.0] * 5)
+    assert model.feature_values(df.where("false"), ["a"], keep=("id",))[1] == []
+
+
 def test_clusters(synthetic):
     rules = config.ModelRules(clusters=4, cluster_tries=2)
     a = rows(model.peer_clusters(synthetic, rules))
@@ -102,8 +116,53 @@ def test_clusters(synthetic):
     assert {c for _, c in rows(model.peer_clusters(synthetic.limit(3), rules))} == {0}
 
 
+def vertex_optimum(x, y, tau, l1):
+    """The least penalised loss: some optimum has as many zeros among residuals and weights as there are unknowns."""
+    n, p = len(y), x.shape[1] + 1
+    full = np.column_stack([np.ones(n), x])
+    lines = np.vstack([full, np.eye(p)[1:]])
+    values = np.concatenate([y, np.zeros(p - 1)])
+    picks = np.array(list(itertools.combinations(range(len(lines)), p)))
+    systems = lines[picks]
+    usable = np.abs(np.linalg.det(systems)) > 1e-9
+    found = np.linalg.solve(systems[usable], values[picks[usable]][..., None])[..., 0]
+    r = y - found @ full.T
+    return (np.maximum(tau * r, (tau - 1) * r).mean(axis=1) + l1 * np.abs(found[:, 1:]).sum(axis=1)).min()
+
+
+@pytest.mark.parametrize("l1", [0.0, 0.001, 0.3, 50.0])
+@pytest.mark.parametrize("tau", [0.9, 0.5])
+def test_quantile_fit_reaches_the_optimum(spark, tau, l1):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(40, 2))
+    y = 5 + 2 * x[:, 0] + r.exponential(3, 40)
+    rows_ = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "features array<double>, label double")
+    found = quantile_regression.fit(rows_, tau, l1)
+    best = vertex_optimum(x, y, tau, l1)
+    own = y - found.intercept - x @ found.weights
+    assert found.loss == pytest.approx(np.maximum(tau * own, (tau - 1) * own).mean() + l1 * np.abs(found.weights).sum())
+    assert best - 1e-9 <= found.loss <= best + 2e-6 * y.std() and found.loss - found.gap <= best + 1e-9
+    if l1 == 50.0:
+        assert np.abs(found.weights).max() < 1e-6
+    got = [v[0] for v in rows_.select(found.predict(F.col("features"))).collect()]
+    assert got == pytest.approx((found.intercept + x @ found.weights).tolist())
+
+
+def test_quantile_fit_with_odd_rows(spark):
+    one = spark.createDataFrame([([1.0, 1.0], 3.0)] * 5, "features array<double>, label double")
+    assert quantile_regression.fit(one, 0.9).loss < 1e-6
+    r = np.random.default_rng(5)
+    x = r.normal(size=200)
+    twice = spark.createDataFrame([([float(a), float(a)], float(3 * a + e)) for a, e in zip(x, r.exponential(1, 200))], one.schema)
+    alone = spark.createDataFrame([([float(a)], float(b.label)) for a, b in zip(x, twice.collect())], one.schema)
+    both, single = quantile_regression.fit(twice, 0.9), quantile_regression.fit(alone, 0.9)
+    assert both.loss == pytest.approx(single.loss, abs=1e-5)
+    with pytest.raises(quantile_regression.Unsettled):
+        quantile_regression.fit(twice, 0.9, rounds=2)
+
+
 def test_quantile_regression_covers_tau(synthetic):
-    est = quantile_regression.estimate(synthetic, tau=0.9, rounds=40)
+    est = quantile_regression.estimate(synthetic, tau=0.9)
     scored = synthetic.join(est, "outlet_id")
     c = quantile_regression.coverage(scored, "hist_deflated_max", 0.9).first()
     assert c.n == 600 and 0.87 <= c.coverage <= 0.93
@@ -146,12 +205,12 @@ CASES = {
 
 
 @pytest.mark.parametrize("case", CASES)
-@pytest.mark.parametrize("top_n_limit", [budget.TOP_N_LIMIT, 3])
-def test_split_equals_one_step_at_a_time(spark, case, top_n_limit):
+@pytest.mark.parametrize("close_steps", [1_000_000, 3])
+def test_split_equals_one_step_at_a_time(spark, case, close_steps):
     rules, values = CASES[case]
     headroom = {f"o{i:03d}": v for i, v in enumerate(values)}
     df = spark.createDataFrame(list(headroom.items()), "outlet_id string, headroom double")
-    got = {r.outlet_id: r.steps * rules.step for r in budget.greedy_steps(df, rules, top_n_limit).collect()}
+    got = {r.outlet_id: r.steps * rules.step for r in budget.greedy_steps(df, rules, close_steps).collect()}
     assert got == heap_split(headroom, rules)
 
 

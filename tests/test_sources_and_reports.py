@@ -1,4 +1,8 @@
+import csv
 import hashlib
+import io
+import random
+import re
 
 import pytest
 from conftest import rows
@@ -6,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfsight.operators import profile, report
 from shelfsight.session import shared_dir, stage
-from shelfsight.sources import files
+from shelfsight.sources import files, records
 
 
 def test_csv_encodings_and_missing_tokens(spark, tmp_path):
@@ -39,6 +43,79 @@ def test_ingest_order_is_file_order(spark, tmp_path):
     assert got == sorted(got) and len(got) == 1500
 
 
+def test_records_are_cut_as_a_serial_reader_cuts_them(spark, tmp_path):
+    """Random files of small splits, with line breaks, doubled, stray and closing quotes, against the reader of the standard library."""
+    r = random.Random(8)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128")
+    spark.conf.set("spark.sql.files.openCostInBytes", "16")
+    try:
+        for round_ in range(2):
+            folder, want, surplus = tmp_path / f"r{round_}", [], []
+            folder.mkdir()
+            for name in ("a", "b", "c"):
+                text = "x,y,z\n"
+                for _ in range(r.randrange(40)):
+                    fields = []
+                    for _ in range(r.choice([3, 3, 3, 2, 4])):
+                        inner = "".join(r.choice('ab, ""\n"é') for _ in range(r.randrange(12)))
+                        plain = re.sub('[,"\n]', "", inner)
+                        fields.append(r.choice(['"' + inner.replace('"', '""') + '"', plain, plain, "q" + plain + '"' if plain else ""]))
+                    text += ",".join(fields) + r.choice(["\n", "\r\n", "\n\n"])
+                encoding = r.choice(["utf-8", "latin-1"])
+                (folder / f"{name}.csv").write_bytes(text.encode(encoding))
+                for row in list(csv.reader(io.StringIO(text, newline="")))[1:]:
+                    if row:
+                        (want if len(row) <= 3 else surplus).append(tuple((v or None) for v in [*row, None, None][:3]) if len(row) <= 3 else tuple(row))
+            found, more = files.read_csv_with_surplus(spark, str(folder))
+            assert [tuple(x) for x in found.orderBy(*files.INGEST_ORDER).select("x", "y", "z").collect()] == want
+            got = [tuple(next(csv.reader(io.StringIO(x.record, newline="")))) for x in more.orderBy(*files.INGEST_ORDER).collect()]
+            assert got == surplus
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_records_over_many_splits_and_loud_ends(spark, tmp_path):
+    def put(text, name="a.csv"):
+        (tmp_path / name).write_bytes(text if isinstance(text, bytes) else text.encode())
+        return str(tmp_path / name)
+
+    long = "first\n" + "middle line\n" * 40 + "last"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    spark.conf.set("spark.sql.files.openCostInBytes", "16")
+    try:
+        path = put(f'k,v\n1,"{long}"\n2,x\n3,"{long}\n"\n4,\n')
+        assert rows(files.read_csv_resilient(spark, path)) == [("1", long), ("2", "x"), ("3", long + "\n"), ("4", None)]
+        with pytest.raises(ValueError, match="42 lines"):
+            records.read_records(spark, path, most_lines=20)
+        with pytest.raises(Exception, match="never closed"):
+            files.read_csv_resilient(spark, put('k,v\n1,"open\n' + "2,x\n" * 50))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    surplus = files.read_csv_resilient(spark, put("k,v\n1,2,3\n4,5\n"))
+    with pytest.raises(Exception, match="more fields than the header: 1,2,3"):
+        surplus.select("k").collect()
+    with pytest.raises(ValueError, match="no header"):
+        files.read_csv_resilient(spark, put("\n\n"))
+    put("k,v\n1,2\n", "b.csv"), put("v,k\n1,2\n", "c.csv")
+    with pytest.raises(ValueError, match="different headers"):
+        files.read_csv_resilient(spark, str(tmp_path))
+    found = files.read_csv_resilient(spark, put('\ufeff"a\nb",a,,a\n"x""y",\t2, 3,"4"\n'))
+    assert found.columns == ["a\nb", "a", "Unnamed: 2", "a.1"] and rows(found) == [('x"y', "\t2", " 3", "4")]
+
+
+def test_surplus_fields_go_to_the_quarantine(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("Store ID,Qty\na,1\nb,2,3,\nc\n")
+    out, pen = str(tmp_path / "out"), str(tmp_path / "pen")
+    with pytest.raises(ValueError, match="1 records"):
+        files.ingest_csv(spark, str(tmp_path / "x.csv"), out)
+    assert files.ingest_csv(spark, str(tmp_path / "x.csv"), out, pen, "stores", "r1")[2] == 2
+    assert rows(spark.read.parquet(out), "outlet_id", "volume_liters") == [("a", "1"), ("c", None)]
+    held = files.read_quarantine(spark, pen)
+    assert rows(held, "record", "failure_reason", "_dataset", "_run_id") == [("b,2,3,", "surplus_fields", "stores", "r1")]
+
+
 def test_canonical_names():
     assert files.canonical_names(["Store ID", " Txn-Date", "Odd Name!"]) == ["outlet_id", "date", "odd_name"]
     with pytest.raises(ValueError):

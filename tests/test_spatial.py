@@ -118,9 +118,9 @@ def test_features_from_responses(spark, frame, tmp_path):
 
 
 @pytest.mark.parametrize("lat0", [0.0, 7.0, -60.0])
-@pytest.mark.parametrize("parts", [2, 8])
-def test_counts_within_equals_brute_force(spark, lat0, parts):
-    rng = random.Random(parts)
+@pytest.mark.parametrize("direct", [1, 30, 1 << 20])
+def test_counts_within_equals_brute_force(spark, lat0, direct):
+    rng = random.Random(direct)
     # A crowd in a small place, more around it, some at one spot.
     deg = math.degrees(500 / config.EARTH_RADIUS_M)
     points = [(lat0 + rng.gauss(0, deg / 3), rng.gauss(0, deg / 3)) for _ in range(150)]
@@ -128,17 +128,37 @@ def test_counts_within_equals_brute_force(spark, lat0, parts):
     points += [points[0]] * 5
     df = spark.createDataFrame(points, "latitude double, longitude double")
     spots = geo.places(df, "latitude", "longitude")
-    got = {(r.latitude, r.longitude): r.within for r in geo.counts_within(spots, "latitude", "longitude", "n", 500.0, parts).collect()}
+    got = {(r.latitude, r.longitude): r.within for r in geo.counts_within(spots, "latitude", "longitude", "n", 500.0, direct).collect()}
     assert got == {p: sum(metres(*p, *q) <= 500.0 for q in points) for p in points}
 
 
-@pytest.mark.parametrize("crowded", [0, spatial.CROWDED])
-def test_own_density(frame, crowded):
+def _compared(spark, n):
+    """Pairs of positions compared one by one, of n positions spread over three kilometres."""
+    rng = random.Random(n)
+    side = math.degrees(3000 / config.EARTH_RADIUS_M)
+    spots = spark.createDataFrame([(rng.random() * side, rng.random() * side, 1) for _ in range(n)], "latitude double, longitude double, n int")
+    height = geo._row_height(1000.0) / 2
+    placed = geo._bands(spots, "latitude", "longitude", "n", height)
+    rim = geo.refine(placed, "n", height, 1000.0, 64)[1]
+    sizes = [geo._cells(placed, "n", level, "").withColumn("_level", F.lit(level)) for level in range((rim.agg(F.max("_level")).first()[0]) + 1)]
+    cells = {(r["_level"], r["_r"], r["_c"]): r["_k"] for level in sizes for r in level.collect()}
+    return sum(cells[r["_level"], r["_r1"], r["_c1"]] * cells[r["_level"], r["_r2"], r["_c2"]] for r in rim.collect())
+
+
+def test_comparisons_grow_slower_than_pairs(spark):
+    """Sixteen times the positions: 64 times the comparisons by the power 1.5, where listing all pairs takes 256 times."""
+    few, many = _compared(spark, 1000), _compared(spark, 16000)
+    assert many / few < 80
+    assert many < 0.1 * 16000**2
+
+
+@pytest.mark.parametrize("direct", [1, 1024])
+def test_own_density(frame, direct):
     df = frame(
         "outlet_id string, latitude double, longitude double",
         ("a", 7.0, 80.0), ("b", 7.0, 80.0), ("c", 7.003, 80.0), ("d", 8.0, 80.0), ("e", None, 80.0),
     )
-    assert rows(spatial.with_own_density(df, crowded=crowded), "outlet_id", "own_network_density") == [
+    assert rows(spatial.with_own_density(df, direct=direct), "outlet_id", "own_network_density") == [
         ("a", 2.0), ("b", 2.0), ("c", 2.0), ("d", 0.0), ("e", 0.0),
     ]
     assert rows(spatial.with_own_density(df.drop("latitude")), "own_network_density") == [(0.0,)] * 5
