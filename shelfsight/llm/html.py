@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfsight.llm.urls import host_of, path_of
@@ -194,13 +195,14 @@ def main_text(pages: DataFrame, carry: tuple[str, ...] = ("url",)) -> DataFrame:
     pairs = pairs.select("row", "partner").join(known.withColumnRenamed("row", "partner"), "partner")
     given = own.join(pairs.select("row", "lines"), "row", "left")
 
-    def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def extract(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = ["page_id", *carry]
         for frame in frames:
-            there = [x is not None for x in frame["lines"]]
-            texts = [article(lines(h), list(x) if x is not None else []) for h, x in zip(frame["html"], frame["lines"])]
-            out = frame[["page_id", *carry]].assign(text=texts, n_chars=list(map(len, texts)), neighbour=there)
-            yield out
+            near = frame.column("lines").to_pylist()
+            texts = [article(lines(h), x or []) for h, x in zip(frame.column("html").to_pylist(), near)]
+            found = [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64()), pa.array([x is not None for x in near])]
+            yield pa.RecordBatch.from_arrays([*(frame.column(c) for c in own), *found], [*own, "text", "n_chars", "neighbour"])
 
     fields = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     schema = ", ".join(f"`{c}` {fields[c]}" for c in ("page_id", *carry)) + ", text string, n_chars long, neighbour boolean"
-    return given.mapInPandas(extract, schema)
+    return given.mapInArrow(extract, schema)

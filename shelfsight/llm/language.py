@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -88,11 +88,11 @@ def identify(
     rows are each answered, null ids stay, other columns are
     ignored; an empty table gives an empty result.
     """
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(dictionaries, rules)
         for frame in frames:
             rows = []
-            for text in frame["text"]:
+            for text in frame.column("text").to_pylist():
                 if not sizes.languages or not any(map(str.isalpha, text or "")):
                     rows.append((UNKNOWN, 0.0, False))
                     continue
@@ -100,13 +100,13 @@ def identify(
                 first, *second = sorted(each)
                 lead = (second[0] - first) / second[0] if second else 1.0
                 rows.append((sizes.languages[each.index(first)], lead, lead >= rules.margin))
-            answer = pd.DataFrame(rows, columns=["lang_pred", "score", "accepted"], index=frame.index)
-            yield pd.concat([frame[own], answer], axis=1)
+            answer = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([*(frame.column(c) for c in own), *answer], [*own, "lang_pred", "score", "accepted"])
 
     own = ["doc_id", *carry]
     types = dict(docs.dtypes)
     schema = ", ".join(f"`{c}` {types[c]}" for c in own) + ", lang_pred string, score double, accepted boolean"
-    return docs.select(*dict.fromkeys([*own, "text"])).mapInPandas(run, schema)
+    return docs.select(*dict.fromkeys([*own, "text"])).mapInArrow(run, schema)
 
 
 def fold_of(doc_id: Column, folds: int = 3) -> Column:

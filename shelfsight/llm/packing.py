@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -159,7 +159,7 @@ def pack(docs: DataFrame, tokenizer: str, rules: PackRules = PackRules()) -> Dat
     time, null ids are passed through, other columns ignored; an empty table
     gives no rows. A sequence number holds the partition in its upper bits.
     """
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         size = max(enc.library.get_vocab().values()) + 2
         closes, opens = np.zeros(size, bool), np.zeros(size, bool)
@@ -169,17 +169,21 @@ def pack(docs: DataFrame, tokenizer: str, rules: PackRules = PackRules()) -> Dat
         end = np.array([rules.end_id], "<u4")
         packer = Packer(rules, closes, opens, TaskContext.get().partitionId() << 33)
 
-        def settled() -> pd.DataFrame:
+        names = [c.split()[0] for c in PIECES.split(", ")]
+        types = [pa.int64()] * len(names)
+
+        def settled() -> pa.RecordBatch:
             rows, packer.rows = packer.rows, []
-            return pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")]).astype({"doc_id": "Int64"})
+            columns = zip(*rows) if rows else [()] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
         for frame in frames:
-            texts, names = frame["text"].tolist(), [None if pd.isna(x) else int(x) for x in frame["doc_id"]]
+            texts, ids = frame.column("text").to_pylist(), frame.column("doc_id").to_pylist()
             for lo, hi in batches(map(len, texts), 4 << 20):
-                for name, text in zip(names[lo:hi], texts[lo:hi]):
+                for name, text in zip(ids[lo:hi], texts[lo:hi]):
                     packer.add(name, np.concatenate([enc.encode(text), end]))
                 yield settled()
         packer.finish()
         yield settled()
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, PIECES)
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, PIECES)
