@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfsight.llm import decontamination, language, neardup, packing, pii
-from shelfsight.llm.common import table, tune
+from shelfsight.llm.common import if_small, table, tune
 from shelfsight.llm.queries import TOKENIZER
 from shelfsight.session import stage
 
@@ -29,10 +29,15 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id, once."""
+    """One row of each group: of the document with the smallest id, and of its rows the first in order. Rows without an id stay."""
     tune(spark)
-    gone = neardup.near_duplicates(docs).where("not kept").select("doc_id")
-    return _rows(docs.join(gone, "doc_id", "left_anti"))
+    gone = neardup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti")
+    # Ids that several rows have are few as a rule; only their rows are put together.
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    repeated = if_small(stage(repeated, "pipeline-repeated"))
+    first = left.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*DOCUMENTS[1:])).alias("row"))
+    return _rows(left.join(repeated, "doc_id", "left_anti")).unionByName(first.select("doc_id", "row.*"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfsight.llm import chat, decontamination, graph, html, language, neardup, packing, pii, quality, tokens, urls
 from shelfsight.llm.common import tune
@@ -55,9 +56,45 @@ def fold(text):
     return "".join(c.lower() if c.isascii() else c for c in text or "")
 
 
+# Ids that a double cannot hold, beside a null
+
+
+BIG = 1 << 60
+
+
+@pytest.fixture(scope="module")
+def large_ids(spark, docs):
+    """One batch of rows with ids above 2**53 and a null one, columns repeated under names the operators use."""
+    rows = [(BIG + 1, TEXTS[1]), (None, TEXTS[1]), (BIG + 3, TEXTS[5]), (BIG + 5, TEXTS[3]), (BIG + 3, TEXTS[5]), (BIG + 7, None)]
+    return spark.createDataFrame([(k, t, "xx", 1, "n", 2, 3, "t") for k, t in rows], DOCS).coalesce(1)
+
+
+def test_large_ids_beside_a_null(spark, large_ids):
+    given = sorted(str(r.doc_id) for r in large_ids.collect())
+    ids = lambda df: sorted(str(r.doc_id) for r in df.collect())
+    assert ids(tokens.token_counts(large_ids, TOKENIZER)) == given
+    assert set(ids(packing.pack(large_ids, TOKENIZER))) == set(given)
+    known = language.learn(large_ids)
+    assert ids(language.identify(large_ids, known)) == given
+    carried = language.identify(large_ids.withColumn("count", F.col("doc_id")), known, carry=("count", "text"))
+    assert sorted((str(r["count"]), r.text) for r in carried.collect()) == sorted((str(r.doc_id), r.text) for r in large_ids.collect())
+    found = {(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(large_ids).collect()}
+    assert found == {(BIG + 1, BIG + 1, True), (BIG + 5, BIG + 1, False), (BIG + 3, BIG + 3, True), (BIG + 7, BIG + 7, True), (None, None, True)}
+    pages = large_ids.selectExpr("doc_id AS page_id", "concat('http://a.org/', doc_id) AS url", "'<p>one</p>' AS html")
+    assert sorted(str(r.page_id) for r in html.main_text(pages).collect()) == given
+
+
 # Tokens and packing
 
 
+def test_lengths_of_batches():
+    """Many texts in few calls: long ones, ones of several parts, ones with a special token."""
+    enc = tokens.encoder(TOKENIZER)
+    texts = [t or "" for t in TEXTS.values()] + ["word " * 60000, "x <|endoftext|>  y", "", "é" * 3000] * 3
+    assert enc.lengths(texts).tolist() == [len(enc.library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert enc.lengths([]).tolist() == []
+
+
 def test_token_counts(docs, empty):
     library = tokens.encoder(TOKENIZER).library
     got = tokens.token_counts(docs, TOKENIZER).collect()

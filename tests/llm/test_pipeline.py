@@ -49,3 +49,13 @@ def test_stages(spark):
         ids = np.append(enc.encode(safe[r.doc_id].text), np.uint32(0)).astype("<u4")
         assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) and r.doc_tokens == len(ids)
     assert sum(r.length for r in pieces) == sum(len(enc.encode(r.text)) + 1 for r in safe.values())
+
+
+def test_one_row_of_each_group_stays(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(5, text, "en"), (5, text, "de"), (3, text + " more", "en"), (3, "quite another text", "en"), (None, text, "en"), (None, text, "en"), (9, "short", "en")]
+    docs = spark.createDataFrame([(a, b, c, "s", 1) for a, b, c in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    left = pipeline.near_duplicates(spark, docs, DATA)
+    assert left.columns == list(pipeline.DOCUMENTS)
+    got = sorted((str(r.doc_id), r.text, r.lang) for r in left.collect())
+    assert got == [("3", "quite another text", "en"), ("9", "short", "en"), ("None", text, "en"), ("None", text, "en")]
