@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfsight.operators.checks import FAILED_STEP, REASON, Step, find_check, is_row_local, tag_reason
 from shelfsight.operators import checks
+from shelfsight.sources.files import union_by_name
 
 logger = logging.getLogger(__name__)
 
@@ -155,11 +156,8 @@ def run_check(df: DataFrame, name: str, **params: Any) -> tuple[DataFrame, DataF
 
 
 def union_rejects(frames: Sequence[DataFrame]) -> DataFrame:
-    """All rejected rows in one frame; columns a frame lacks are NULL."""
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    return out
+    """All rejected rows in one frame; columns a frame lacks are NULL. See :func:`union_by_name`."""
+    return union_by_name(frames)
 
 
 def fit_to_columns(specs: Sequence[CheckSpec], columns: Sequence[str]) -> list[CheckSpec]:

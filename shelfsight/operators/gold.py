@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfsight import config
 from shelfsight.functions import quantiles, scalar as S
+from shelfsight.session import stage
 
 MONTH_KEYS = ("outlet_id", "year", "month")
 CATEGORIES = {
@@ -39,22 +40,40 @@ def monthly_totals(lines: DataFrame, order: Sequence[str]) -> DataFrame:
     """Lines summed up to outlet × month; rows with missing keys stay.
 
     The distributor is the one of the first line in ``order`` that has one.
-    """
 
-    def total(name: str) -> Column:
-        return F.coalesce(F.sum(name), F.lit(0.0))
-
-    first = F.struct(*order)
-    return lines.groupBy(*MONTH_KEYS).agg(
-        total("volume_liters").alias("volume_total"),
-        total("_abs_vol").alias("volume_gross"),
-        total("_returns_vol").alias("volume_returns"),
-        total("_purchase_vol").alias("volume_purchases"),
-        total("total_bill_value").alias("bill_total"),
-        F.count_distinct("sku_id").alias("sku_diversity"),
-        F.count("*").alias("n_lines"),
-        F.min_by("distributor_id", F.when(F.col("distributor_id").isNotNull(), first)).alias("distributor_id"),
+    Two hash aggregates, by product and then by month, sum up the lines and count
+    the products. They also say by the least and the largest hash whether a month
+    has one distributor. If so, it is looked up by its hash, and no order is
+    needed; only the lines of the other months are put in order.
+    """
+    sums = {
+        "volume_total": "volume_liters", "volume_gross": "_abs_vol", "volume_returns": "_returns_vol",
+        "volume_purchases": "_purchase_vol", "bill_total": "total_bill_value",
+    }
+    mark = F.xxhash64("distributor_id")
+    marked = lines.withColumn("_mark", F.when(F.col("distributor_id").isNotNull(), mark))
+    marks = [F.min("_low").alias("_low"), F.max("_high").alias("_high")]
+    by_product = marked.groupBy(*MONTH_KEYS, "sku_id").agg(
+        *[F.sum(c).alias(n) for n, c in sums.items()], F.count("*").alias("n_lines"), F.min("_mark").alias("_low"), F.max("_mark").alias("_high")
     )
+    months = by_product.groupBy(*MONTH_KEYS).agg(
+        *[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in sums], F.count("sku_id").alias("sku_diversity"), F.sum("n_lines").alias("n_lines"), *marks
+    )
+    months = stage(months, "month_totals")
+    # A row per distributor, and of two with one hash, which would be mixed up, an error.
+    alike = F.raise_error(F.lit("two distributors with one hash")).cast("string")
+    names = lines.where("distributor_id is not null").select("distributor_id", mark.alias("_low")).distinct()
+    names = names.groupBy("_low").agg(F.when(F.count("*") == 1, F.min("distributor_id")).otherwise(alike).alias("_only"))
+    mixed = months.where("_low <> _high").select(*[F.col(k).alias(f"_m_{k}") for k in MONTH_KEYS])
+    same = S.all_of(F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in MONTH_KEYS)
+    first = lines.where("distributor_id is not null").join(mixed, same, "left_semi")
+    first = first.groupBy(*MONTH_KEYS).agg(F.min_by("distributor_id", F.struct(*order)).alias("_first"))
+    first = stage(first, "first_distributors").select(*[F.col(k).alias(f"_m_{k}") for k in MONTH_KEYS], "_first")
+    found = months.join(first, same, "left").join(names, "_low", "left")
+    return found.select(
+        *MONTH_KEYS, *sums, "sku_diversity", "n_lines",
+        F.when(F.col("_low") == F.col("_high"), F.col("_only")).otherwise(F.col("_first")).alias("distributor_id"),
+    )
 
 
 def with_return_share(monthly: DataFrame) -> DataFrame:
@@ -165,22 +184,37 @@ def roll_up(monthly: DataFrame) -> DataFrame:
     )
 
 
-def discover_categories(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """Distinct values of a category column; refuses a column with too many."""
-    values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().take(limit + 1)]
-    if len(values) > limit:
-        raise ValueError(f"{column} has more than {limit} values")
-    return sorted(values)
+def vocabulary(
+    df: DataFrame, known: Mapping[str, tuple[str, Sequence[str]]] = CATEGORIES, widest: int = 200
+) -> dict[str, tuple[str, list[str]]]:
+    """The categories to give columns to: the known values, and of the others present the ``widest`` most frequent.
 
+    The values are counted where they are; no more than ``widest`` of a column
+    come to the driver, whatever it holds. What is left over is kept by
+    :func:`one_hot` in another form.
+    """
+    out = {}
+    for column, (prefix, values) in known.items():
+        if column in df.columns:
+            other = df.where(F.col(column).isNotNull() & ~F.col(column).isin(*values)).groupBy(column).count()
+            most = other.orderBy(F.col("count").desc(), column).limit(widest).collect()
+            out[column] = (prefix, [*values, *sorted(r[0] for r in most)])
+    return out
 
-def one_hot(df: DataFrame, categories: Mapping[str, tuple[str, Sequence[str]]] = CATEGORIES) -> DataFrame:
-    """A 0/1 column ``<prefix>_<value>`` per known value; a missing value has 0 in all."""
-    new = {
-        f"{prefix}_{value}": S.flag(F.col(column) == value).cast("int")
-        for column, (prefix, values) in categories.items()
-        if column in df.columns
-        for value in values
-    }
+
+def one_hot(df: DataFrame, categories: Mapping[str, tuple[str, Sequence[str]]] = CATEGORIES, rest: bool = False) -> DataFrame:
+    """A 0/1 column ``<prefix>_<value>`` per listed value; a missing value has 0 in all.
+
+    With ``rest`` a value that is not listed is 1 in the map ``<prefix>_rest``,
+    a sparse row of the columns it would have needed.
+    """
+    new = {}
+    for column, (prefix, values) in categories.items():
+        if column in df.columns:
+            new |= {f"{prefix}_{value}": S.flag(F.col(column) == value).cast("int") for value in values}
+            if rest:
+                unlisted = F.col(column).isNotNull() & ~F.col(column).isin(*values)
+                new[f"{prefix}_rest"] = F.when(unlisted, F.create_map(F.col(column), F.lit(1)))
     return df.withColumns(new) if new else df
 
 
@@ -198,8 +232,10 @@ def outlet_features(
     outlets: DataFrame,
     monthly: DataFrame,
     poi: DataFrame | None = None,
-    categories: Mapping[str, tuple[str, Sequence[str]]] = CATEGORIES,
+    categories: Mapping[str, tuple[str, Sequence[str]]] | None = None,
 ) -> DataFrame:
+    """Without ``categories`` they are those of :func:`vocabulary`, counted over the outlets."""
+    categories = vocabulary(outlets) if categories is None else categories
     df = outlets.join(roll_up(monthly), "outlet_id", "left")
     if poi is not None and "outlet_id" in poi.columns:
         df = df.join(poi, "outlet_id", "left")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from shelfsight import config
 from shelfsight.functions import quantiles, scalar as S
 from shelfsight.operators import gold
+from shelfsight.session import stage
 
 FACTORS = ("peer_ceiling", "constraint_uplift", "seasonality_jan_index", "spatial_multiplier")
 ESTIMATORS = ("peer_ceiling", "quantile_regression", "unconstrained_extrapolation")
@@ -87,20 +88,17 @@ def peer_clusters(features: DataFrame, rules: config.ModelRules = config.MODEL)
     matrix, used = feature_matrix(features, columns) if columns and enough else (None, [])
     if not used:
         return features.select("outlet_id", F.lit(0).alias("peer_cluster"))
-    matrix = matrix.persist()
+    matrix = stage(matrix, "peer_features")
     best = None
-    try:
-        for i in range(rules.cluster_tries):
-            means = KMeans(
-                k=rules.clusters, seed=rules.seed + i, maxIter=rules.cluster_rounds, featuresCol="features", predictionCol="peer_cluster"
-            )
-            fitted = means.fit(matrix)
-            if fitted.summary.numIter >= rules.cluster_rounds:
-                warnings.warn(f"K-means try {i} ended after {rules.cluster_rounds} rounds without settling", stacklevel=2)
-            if best is None or fitted.summary.trainingCost < best.summary.trainingCost:
-                best = fitted
-    finally:
-        matrix.unpersist()
+    for i in range(rules.cluster_tries):
+        means = KMeans(
+            k=rules.clusters, seed=rules.seed + i, maxIter=rules.cluster_rounds, featuresCol="features", predictionCol="peer_cluster"
+        )
+        fitted = means.fit(matrix)
+        if fitted.summary.numIter >= rules.cluster_rounds:
+            warnings.warn(f"K-means try {i} ended after {rules.cluster_rounds} rounds without settling", stacklevel=2)
+        if best is None or fitted.summary.trainingCost < best.summary.trainingCost:
+            best = fitted
     return best.transform(matrix).select("outlet_id", "peer_cluster")
 
 
@@ -165,15 +163,16 @@ def with_extrapolation(
     return df.withColumn("unconstrained_extrapolation", F.col("_best") * index).drop("_best", "season_index")
 
 
-def blend(weights: Mapping[str, float] | None = None) -> Column:
-    """Weighted mean of the estimators that are present and not negative."""
+def blend(weights: Mapping[str, float] | None = None, estimates: Mapping[str, Column] | None = None) -> Column:
+    """Weighted mean of the estimators that are present and not negative; ``estimates`` are their columns if named otherwise."""
     weights = dict(config.MODEL.weights) if weights is None else weights
     parts, total = [], []
     for name in ESTIMATORS:
-        usable = S.flag(F.col(name) >= 0)
+        value = estimates[name] if estimates else F.col(name)
+        usable = S.flag(value >= 0)
         weight = F.when(usable, F.lit(float(weights.get(name, 0.0)))).otherwise(0.0)
         total.append(weight)
-        parts.append(weight * F.when(usable, F.col(name)).otherwise(0.0))
+        parts.append(weight * F.when(usable, value).otherwise(0.0))
     return S.ratio(reduce(lambda a, b: a + b, parts), reduce(lambda a, b: a + b, total))
 
 

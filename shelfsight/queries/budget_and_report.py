@@ -9,8 +9,8 @@ from shelfsight.operators.engine import union_rejects
 from shelfsight.queries import prepared
 from shelfsight.queries.base import query, rounded, sql
 from shelfsight.queries.blocks import MASTER_DOUBLES, block
-from shelfsight.queries.sources_and_checks import blackouts, constant_runs, coordinates_result, d10, outlets_result
-from shelfsight.sources.adapters import Tables
+from shelfsight.queries.sources_and_checks import all_results, blackouts, constant_runs, d10
+from shelfsight.sources.adapters import SOURCE_TABLES, Tables
 
 # ---------------------------------------------------------------------------
 # Budget
@@ -257,20 +257,20 @@ def r9(t: Tables) -> DataFrame:
 _WATERFALL = " UNION ALL ".join(
     f"SELECT outlet_id, '{stage}' AS stage, {value} AS value, {value} - {before} AS delta FROM master"
     for stage, value, before in (
-        ("1 · Peer ceiling (base)", "peer_ceiling", "0"),
-        ("2 · × Constraint uplift", "peer_ceiling * constraint_uplift", "peer_ceiling"),
+        ("1 similar outlets", "peer_ceiling", "0"),
+        ("2 months held back", "peer_ceiling * constraint_uplift", "peer_ceiling"),
         (
-            "3 · × Seasonality (Jan)",
+            "3 season",
             "peer_ceiling * constraint_uplift * seasonality_jan_index",
             "peer_ceiling * constraint_uplift",
         ),
         (
-            "4 · × Spatial multiplier",
+            "4 surroundings",
             "peer_ceiling * constraint_uplift * seasonality_jan_index * spatial_multiplier",
             "peer_ceiling * constraint_uplift * seasonality_jan_index",
         ),
         (
-            "5 · Floor/cap guardrail",
+            "5 limits",
             "mult_potential",
             "peer_ceiling * constraint_uplift * seasonality_jan_index * spatial_multiplier",
         ),
@@ -283,18 +283,28 @@ def r10(t: Tables) -> DataFrame:
     return rounded(report.waterfall(prepared.master(t)).drop("note"), 3)
 
 
+def _factor_note(column: str, why: str) -> str:
+    return f"'factor ' || printf('%.3f', round({column}, 3)) || ': ' || {why}"
+
+
+_NOTES = {
+    "1 similar outlets": "'what the best of them sell in months without limits'",
+    "2 months held back": _factor_note("constraint_uplift", "coalesce(months_constrained, 0) || ' of ' || coalesce(months_observed, 0) || ' months'"),
+    "3 season": _factor_note("seasonality_jan_index", "'target month at ' || coalesce(distributor_id, 'no distributor')"),
+    "4 surroundings": _factor_note("spatial_multiplier", "'places nearby against competitors nearby'"),
+    "5 limits": "'no less than the own maximum, no more than the group allows'",
+}
+
+
 @query(
     "r10_waterfall_notes",
-    sql(
-        """SELECT outlet_id, '×' || printf('%.3f', round(constraint_uplift, 3)) || ' — left-censorship correction ('
-                  || coalesce(months_constrained, 0) || '/' || coalesce(months_observed, 0) || ' months constrained)' AS note
-           FROM master""",
-        "master",
-    ),
+    sql(" UNION ALL ".join(f"SELECT outlet_id, '{stage}' AS stage, {note} AS note FROM master" for stage, note in _NOTES.items()), "master"),
 )
 def r10_notes(t: Tables) -> DataFrame:
-    steps = report.waterfall(prepared.master(t)).where("stage like '2%'")
-    return steps.select("outlet_id", "note")
+    """Half-way factors are rounded up in both engines before they are formatted."""
+    m = prepared.master(t)
+    factors = m.withColumns({c: F.round(c, 3) for c in ("constraint_uplift", "seasonality_jan_index", "spatial_multiplier")})
+    return report.waterfall(factors).select("outlet_id", "stage", "note")
 
 
 _PRODUCT = "peer_ceiling * constraint_uplift * seasonality_jan_index * spatial_multiplier"
@@ -367,26 +377,23 @@ def r14(t: Tables) -> DataFrame:
 
 
 def _figure(column: str, decimals: int = 0) -> str:
-    return f"coalesce(format('{{:,.{decimals}f}}', round({column}, {decimals})), 'N/A')"
+    return f"coalesce(format('{{:,.{decimals}f}}', round({column}, {decimals})), 'unknown')"
 
 
 _EXPLAIN = f"""
-SELECT outlet_id, 'Outlet: ' || outlet_id || chr(10) || 'Type/Size: ' || outlet_type || ' / ' || coalesce(outlet_size, 'Unknown') || chr(10)
-  || 'Province: ' || coalesce(province, 'Unknown') || ' | Distributor: ' || coalesce(distributor_id, 'Unknown') || chr(10)
-  || 'Peer ceiling: ' || {_figure('peer_ceiling')} || ' L/month' || chr(10)
-  || 'Constraint uplift: ' || {_figure('constraint_uplift', 3)} || '× ('
-  || format('{{:.0f}}', round(coalesce(months_constrained * 100 / nullif(months_observed, 0), 0))) || '% of months were constrained)' || chr(10)
-  || 'Seasonality (January): ' || {_figure('seasonality_jan_index', 2)} || '×' || chr(10)
-  || 'Spatial multiplier: ' || {_figure('spatial_multiplier', 3)} || '×' || chr(10)
-  || 'Predicted potential: ' || {_figure('mult_potential')} || ' L/month' || chr(10)
-  || 'Normal monthly sales: ' || {_figure('hist_total_median')} || ' L (historical median)' || chr(10)
-  || 'Historical maximum: ' || {_figure('hist_total_max')} || ' L' || chr(10)
-  || 'POI accessibility score: ' || {_figure('poi_accessibility', 2)} || chr(10)
-  || 'Competitive saturation: ' || {_figure('saturation_index', 2)} || chr(10)
-  || 'Budget allocation: ' || CASE WHEN coalesce("Trade_Spend_Allocation_LKR", 0) <> 0
-       THEN format('{{:,.0f}}', "Trade_Spend_Allocation_LKR") || ' LKR' ELSE 'None' END || chr(10)
-  || 'Available headroom: ' || {_figure('headroom')} || ' L' || chr(10)
-  || 'Expected incremental lift: ' || {_figure('expected_incremental_liters')} || ' L' AS explanation
+SELECT outlet_id, concat_ws(chr(10),
+    'Outlet ' || outlet_id || ' (type ' || coalesce(outlet_type, 'unknown') || ', size ' || coalesce(outlet_size, 'unknown') || ') in '
+      || coalesce(province, 'unknown') || ' is served by ' || coalesce(distributor_id, 'unknown') || '.',
+    'Similar outlets reach ' || {_figure('peer_ceiling')} || ' l a month.',
+    'It was held back in ' || format('{{:.0f}}', round(coalesce(months_constrained * 100 / nullif(months_observed, 0), 0)))
+      || ' % of its months, which counts as a factor of ' || {_figure('constraint_uplift', 3)} || '.',
+    'The season counts as ' || {_figure('seasonality_jan_index', 2)} || ', the surroundings as ' || {_figure('spatial_multiplier', 3)}
+      || ' (pull of places ' || {_figure('poi_accessibility', 2)} || ', competition ' || {_figure('saturation_index', 2)} || ').',
+    'That makes a potential of ' || {_figure('mult_potential')} || ' l a month, ' || {_figure('headroom')} || ' l above the usual '
+      || {_figure('hist_total_median')} || ' l; its best month had ' || {_figure('hist_total_max')} || ' l.',
+    CASE WHEN coalesce("Trade_Spend_Allocation_LKR", 0) <> 0
+         THEN 'A promotion of ' || format('{{:,.0f}}', "Trade_Spend_Allocation_LKR") || ' LKR should add '
+              || {_figure('expected_incremental_liters')} || ' l.' ELSE 'No promotion is planned.' END) AS explanation
 FROM master"""
 
 
@@ -409,11 +416,15 @@ def r15(t: Tables) -> DataFrame:
 
 @query(
     "x1_dataset_sizes",
-    """SELECT 'customer' AS dataset, count(*) AS rows, CAST(5 AS INT) AS columns FROM customer
-       UNION ALL SELECT 'orders', count(*), 6 FROM orders UNION ALL SELECT 'lineitem', count(*), 11 FROM lineitem""",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS dataset, (SELECT count(*) FROM {name}) AS rows,
+                   CAST((SELECT count(*) FROM (DESCRIBE {name})) AS INT) AS columns"""
+        for name in SOURCE_TABLES
+    ),
 )
 def x1(t: Tables) -> DataFrame:
-    return profile.dataset_sizes({"customer": t.customer, "orders": t.orders, "lineitem": t.lineitem})
+    """All given tables that the library reads."""
+    return profile.dataset_sizes({name: t.source(name) for name in SOURCE_TABLES})
 
 
 _NULL_COLUMNS = ("outlet_id", "outlet_type", "outlet_size", "cooler_count", "src_key", "src_copy")
@@ -543,7 +554,7 @@ def x8(t: Tables) -> DataFrame:
     ),
 )
 def x9(t: Tables) -> DataFrame:
-    return profile.top_reasons(union_rejects([outlets_result(t).rejected, coordinates_result(t).rejected]))
+    return profile.top_reasons(union_rejects([result.rejected for result in all_results(t)]))
 
 
 @query(

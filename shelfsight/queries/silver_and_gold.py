@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+from shelfsight import config
 from shelfsight.operators import gold, silver
 from shelfsight.queries import prepared
 from shelfsight.queries.base import query, rounded, sql
-from shelfsight.queries.blocks import NEAREST_DIGITS, ONE_HOT, POI_DOUBLES, PROVINCE_SQL, ROLL_UP_DOUBLES, block
+from shelfsight.queries.blocks import NEAREST_DIGITS, ONE_HOT, POI_DOUBLES, PROVINCE_SQL, ROLL_UP_DOUBLES, block, hot
 from shelfsight.queries.sources_and_checks import coordinates_result, outlets_result, transactions_result
 from shelfsight.session import stage
 from shelfsight.sources.adapters import TRANSACTION_ORDER, Tables
@@ -216,6 +217,25 @@ def g12(t: Tables) -> DataFrame:
     return hot.select("outlet_id", *[F.col(f"`{c}`") for c in new])
 
 
+# Outlets with types outside the given list.
+_TYPED = """CASE WHEN CAST(substring(outlet_id, 5) AS BIGINT) % 11 = 0 THEN 'Night market'
+    WHEN CAST(substring(outlet_id, 5) AS BIGINT) % 13 = 0 THEN 'Petrol station' ELSE outlet_type END"""
+_PRESENT = (*config.OUTLET_TYPE_VALUES, "Night market", "Petrol station")
+
+
+@query(
+    "g12_one_hot_present",
+    sql(
+        f"SELECT outlet_id, {hot('outlet_type', 'type', _PRESENT)} FROM (SELECT outlet_id, {_TYPED} AS outlet_type FROM outlets) AS t",
+        "outlets",
+    ),
+)
+def g12_present(t: Tables) -> DataFrame:
+    """A column also for types that no list names."""
+    outlets = t.outlets.select("outlet_id", F.expr(_TYPED).alias("outlet_type"))
+    return gold.one_hot(outlets, gold.vocabulary(outlets)).drop("outlet_type")
+
+
 @query(
     "g13_ratios",
     sql("SELECT outlet_id, volume_cv, max_to_mean_ratio FROM features", "features", doubles="volume_cv max_to_mean_ratio"),

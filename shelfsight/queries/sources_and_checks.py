@@ -12,7 +12,7 @@ from shelfsight.queries.base import query, rounded, sql
 from shelfsight.queries.blocks import block, case
 from shelfsight.session import stage, stage_path
 from shelfsight.sources import files
-from shelfsight.sources.adapters import TRANSACTION_ORDER, Tables
+from shelfsight.sources.adapters import SOURCE_TABLES, TRANSACTION_ORDER, Tables
 
 COPY_ORDER = ("src_key", "src_copy")
 SEASON_ORDER = ("src_copy", "distributor_id", "year", "month", "seasonality_index")
@@ -37,7 +37,8 @@ def _exports(t: Tables) -> str:
     noted = t.outlets.withColumn("cooler_count", F.col("cooler_count").cast("string")).withColumn("note", F.expr(_NOTES))
     for name, rest, encoding in (("first", 0, "UTF-8"), ("second", 1, "ISO-8859-1")):
         part = noted.where(number % 3 == rest)
-        part.write.option("header", True).option("escape", '"').option("encoding", encoding).csv(f"{path}/{name}")
+        out = part.write.option("header", True).option("escape", '"').option("encoding", encoding)
+        out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{path}/{name}")
     tail = F.when(number % 2 == 0, ',6" pipe').otherwise(",a,,b")
     line = F.concat(F.expr(_LINE), tail).alias("outlet_id,outlet_type,outlet_size,cooler_count,note")
     raw = noted.where(number % 3 == 2).select(line)
@@ -103,7 +104,7 @@ def canonical_columns(t: Tables) -> DataFrame:
 
 @query("s7_ingest_manifest")
 def ingest_manifest(t: Tables) -> DataFrame:
-    names = ("customer", "orders", "lineitem")
+    names = SOURCE_TABLES
     hashes = files.file_hashes(t.spark, f"{t.directory}/{{{','.join(names)}}}.parquet")
     dataset = F.regexp_extract("path", r"([^/]+)\.parquet$", 1)
     counts = [t.source(n).agg(F.count("*").alias("rows")).select(F.lit(n).alias("dataset"), "rows") for n in names]
@@ -118,7 +119,7 @@ def ingest_manifest(t: Tables) -> DataFrame:
 )
 def quarantine(t: Tables) -> DataFrame:
     path = stage_path(t.spark, "quarantine")
-    for result in (outlets_result(t), coordinates_result(t)):
+    for result in all_results(t):
         files.append_quarantine(result.rejected, path, "run1")
     return files.read_quarantine(t.spark, path).groupBy("_dataset", "failure_reason").agg(F.count("*").alias("n"))
 
@@ -151,7 +152,7 @@ def poi_responses(t: Tables) -> DataFrame:
     ),
 )
 def d1(t: Tables) -> DataFrame:
-    keys = list(config.SCHEMAS["transactions"].primary_key)
+    keys = list(cleaning.KEYS["transactions"])
     _, rejected = run_check(t.transactions, "duplicate", keys=keys, order=TRANSACTION_ORDER)
     return rejected.select(*TRANSACTION_ORDER)
 
@@ -166,7 +167,7 @@ def d1(t: Tables) -> DataFrame:
     ),
 )
 def d1_any(t: Tables) -> DataFrame:
-    keys = list(config.SCHEMAS["transactions"].primary_key)
+    keys = list(cleaning.KEYS["transactions"])
     _, rejected = run_check(t.transactions, "duplicate", keys=keys, order=TRANSACTION_ORDER, keep=False)
     return rejected.select(*TRANSACTION_ORDER)
 
@@ -425,6 +426,11 @@ def transactions_result(t: Tables) -> engine.CheckResult:
     return run_checks(t.transactions_raw, "transactions", cleaning.transaction_checks(outlets, TRANSACTION_ORDER))
 
 
+def all_results(t: Tables) -> list[engine.CheckResult]:
+    """The checks of all five datasets."""
+    return [outlets_result(t), coordinates_result(t), seasonality_result(t), holidays_result(t), transactions_result(t)]
+
+
 def _step_block(name: str, reads: str, null_sql: str, null_reason: str, keys: str, order: str, before: str, after: str, reasons: dict):
     """Blocks ``<name>`` (rows with step, reason): CASE of the checks before the
     duplicate check, ``after`` the ones behind it."""
@@ -497,7 +503,7 @@ _step_block(
     "WHEN try_cast(date AS TIMESTAMP) IS NULL THEN 1", "",
     {"date": (1, "format_violation:date(datetime|)"), "duplicate": (2, "duplicate_on:date+holiday_name+holiday_type")},
 )
-_null, _reason = _absent(*config.SCHEMAS["transactions"].mandatory)
+_null, _reason = _absent(*cleaning.MANDATORY["transactions"])
 _step_block(
     "transaction_steps", "transactions_raw outlets_checked", _null, _reason,
     "outlet_id, year, month, distributor_id, sku_id", _FIRST,
@@ -515,10 +521,13 @@ _step_block(
 )
 block(
     "dirty_rejects",
-    "outlets_checked coordinate_steps",
+    "outlets_checked coordinate_steps season_steps holiday_steps transaction_steps",
     """
 SELECT 'outlets' AS _dataset, failure_reason FROM outlets_checked WHERE step IS NOT NULL
-UNION ALL SELECT 'coordinates', failure_reason FROM coordinate_steps WHERE step IS NOT NULL""",
+UNION ALL SELECT 'coordinates', failure_reason FROM coordinate_steps WHERE step IS NOT NULL
+UNION ALL SELECT 'seasonality', failure_reason FROM season_steps WHERE step IS NOT NULL
+UNION ALL SELECT 'holidays', failure_reason FROM holiday_steps WHERE step IS NOT NULL
+UNION ALL SELECT 'transactions', failure_reason FROM transaction_steps WHERE step IS NOT NULL""",
 )
 
 
@@ -557,17 +566,27 @@ def d16(t: Tables) -> DataFrame:
 @query(
     "d17_union_rejects",
     sql(
-        """SELECT outlet_id, cooler_count, CAST(NULL AS DOUBLE) AS latitude, failure_reason FROM outlets_checked WHERE step IS NOT NULL
-           UNION ALL SELECT outlet_id, NULL, CASE WHEN step < 2 THEN lat0 ELSE latitude END, failure_reason FROM coordinate_steps
-           WHERE step IS NOT NULL""",
+        """SELECT 'outlets' AS _dataset, outlet_id, cooler_count, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS STRING) AS distributor_id,
+                  CAST(NULL AS STRING) AS holiday_name, CAST(NULL AS STRING) AS sku_id, failure_reason FROM outlets_checked WHERE step IS NOT NULL
+           UNION ALL SELECT 'coordinates', outlet_id, NULL, CASE WHEN step < 2 THEN lat0 ELSE latitude END, NULL, NULL, NULL, failure_reason
+             FROM coordinate_steps WHERE step IS NOT NULL
+           UNION ALL SELECT 'seasonality', NULL, NULL, NULL, distributor_id, NULL, NULL, failure_reason FROM season_steps WHERE step IS NOT NULL
+           UNION ALL SELECT 'holidays', NULL, NULL, NULL, NULL, holiday_name, NULL, failure_reason FROM holiday_steps WHERE step IS NOT NULL
+           UNION ALL SELECT 'transactions', outlet_id, NULL, NULL, distributor_id, NULL, sku_id, failure_reason FROM transaction_steps
+             WHERE step IS NOT NULL""",
         "outlets_checked",
         "coordinate_steps",
+        "season_steps",
+        "holiday_steps",
+        "transaction_steps",
         doubles="latitude",
     ),
 )
 def d17(t: Tables) -> DataFrame:
-    both = engine.union_rejects([outlets_result(t).rejected, coordinates_result(t).rejected])
-    return rounded(both.select("outlet_id", "cooler_count", "latitude", "failure_reason"))
+    """The rejects of all datasets in one table, with a column of each of them."""
+    rejects = engine.union_rejects([result.rejected for result in all_results(t)])
+    shown = ("_dataset", "outlet_id", "cooler_count", "latitude", "distributor_id", "holiday_name", "sku_id", "failure_reason")
+    return rounded(rejects.select(*shown))
 
 
 @query(

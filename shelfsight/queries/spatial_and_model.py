@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from shelfsight import config
 from shelfsight.functions import quantiles
-from shelfsight.operators import geo, model, poi, quantile_regression, spatial
+from shelfsight.operators import geo, model, poi, quantile_regression, sensitivity, spatial
 from shelfsight.queries import prepared
 from shelfsight.queries.base import query, rounded, sql
 from shelfsight.queries.blocks import CATEGORY_SQL, NEAREST_DIGITS, POI_DOUBLES, blend_sql, case, distance, robust_z
@@ -76,26 +78,29 @@ def p5(t: Tables) -> DataFrame:
 @query(
     "p6_poi_by_category",
     sql(
-        f"""SELECT outlet_id, category, count(*) AS n, min(d) AS nearest_m, sum(exp(-(d * d) / (2 * sigma * sigma))) AS access
-            FROM (SELECT *, {case("category", config.POI_SIGMA_M, "300.0")} AS sigma FROM poi_pairs WHERE d <= 500) AS p
-            GROUP BY outlet_id, category""",
+        f"""SELECT outlet_id, CAST(r AS INT) AS radius_m, category, count(*) AS n, min(d) AS nearest_m,
+                   sum(exp(-(d * d) / (2 * sigma * sigma))) AS access
+            FROM (SELECT *, {case("category", config.POI_SIGMA_M, "300.0")} AS sigma
+                  FROM poi_pairs JOIN (SELECT unnest([{", ".join(map(str, config.SPATIAL.radii_m))}]) AS r) AS radii ON d <= r) AS p
+            GROUP BY outlet_id, r, category""",
         "poi_pairs",
         doubles="nearest_m:4 access",
     ),
 )
 def p6(t: Tables) -> DataFrame:
-    """The wide 500 m features turned back into rows."""
-    wide = poi.features_from_hits(
-        poi.site_hits(t.coordinates, poi.locate(t.poi), (500,)), ["latitude", "longitude"], (500,)
-    )
+    """The wide features turned back into rows, for each radius."""
+    radii = tuple(config.SPATIAL.radii_m)
+    wide = poi.features_from_hits(poi.site_hits(t.coordinates, poi.locate(t.poi), radii), ["latitude", "longitude"], radii)
     rows = F.array(
         *[
             F.struct(
+                F.lit(r).alias("radius_m"),
                 F.lit(c).alias("category"),
-                F.col(f"poi_count_{c}_500m").alias("n"),
-                F.col(f"poi_nearest_{c}_500m").alias("nearest_m"),
-                F.col(f"poi_access_{c}_500m").alias("access"),
+                F.col(f"poi_count_{c}_{r}m").alias("n"),
+                F.col(f"poi_nearest_{c}_{r}m").alias("nearest_m"),
+                F.col(f"poi_access_{c}_{r}m").alias("access"),
             )
+            for r in radii
             for c in config.POI_CATEGORIES
         ]
     )
@@ -187,6 +192,30 @@ def m2(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "m2_feature_values",
+    sql(
+        """SELECT "column", outlet_id, CASE WHEN stddev_pop(v) OVER c > 1e-12 * abs(avg(v) OVER c)
+                  THEN (v - avg(v) OVER c) / stddev_pop(v) OVER c ELSE 0 END AS value
+           FROM (SELECT "column", outlet_id, coalesce(v, median(v) OVER (PARTITION BY "column")) AS v FROM (
+             SELECT "column", outlet_id, CASE WHEN NOT isnan(v) THEN v END AS v FROM (
+               UNPIVOT (SELECT outlet_id, coalesce(COLUMNS(lambda c: starts_with(c, 'poi_') OR c IN ('latitude', 'longitude',
+                               'hist_total_p90', 'hist_total_median'))::DOUBLE, 'nan'::DOUBLE) FROM features)
+               ON COLUMNS(* EXCLUDE (outlet_id)) INTO NAME "column" VALUE v) AS l) AS g) AS m
+           WHERE v IS NOT NULL WINDOW c AS (PARTITION BY "column")""",
+        "features",
+        doubles="value",
+        digits=5,
+    ),
+)
+def m2_values(t: Tables) -> DataFrame:
+    """Every value after gaps are filled with the exact median and the column is standardised."""
+    f = prepared.features(t)
+    values, used = model.feature_values(f, model.peer_columns(f))
+    named = F.arrays_zip(F.array(*[F.lit(c) for c in used]).alias("column"), F.col("features").alias("value"))
+    return rounded(values.select("outlet_id", F.inline(named)).select("column", "outlet_id", "value"), 5)
+
+
 @query("m3_peer_clusters")
 def m3(t: Tables) -> DataFrame:
     clusters = model.peer_clusters(prepared.features(t))
@@ -208,6 +237,29 @@ def m5(t: Tables) -> DataFrame:
     return rounded(quantile_regression.coverage(scored, "hist_deflated_max", 0.9), 3)
 
 
+@query(
+    "m5_fit_invariants",
+    sql(
+        """SELECT count(hist_deflated_max) AS n, count(hist_deflated_max) > 0 AS as_many_above, count(hist_deflated_max) > 0 AS near_the_best
+           FROM features""",
+        "features",
+    ),
+)
+def m5_invariants(t: Tables) -> DataFrame:
+    """What every best fit of the quantile 0.9 has: no more than a tenth of the labels above it, no more than nine tenths below, and no gap."""
+    f = prepared.factored(t).drop("quantile_regression")
+    rows = quantile_regression.training_rows(f, "hist_deflated_max")[0].where("label is not null")
+    found = quantile_regression.fit(rows, 0.9)
+    r = F.col("label") - found.predict(F.col("features"))
+    near, n = F.lit(1e-3) * F.stddev_pop("label"), F.count("*")
+    sides = rows.select("label", r.alias("r")).crossJoin(rows.agg(near.alias("near")))  # one row
+    return sides.agg(
+        n.alias("n"),
+        ((F.count_if(F.col("r") > F.col("near")) <= 0.1 * n) & (F.count_if(F.col("r") < -F.col("near")) <= 0.9 * n)).alias("as_many_above"),
+        (F.lit(found.gap) <= 2e-6 * F.stddev_pop("label")).alias("near_the_best"),
+    )
+
+
 @query(
     "m6_extrapolation",
     sql("SELECT outlet_id, unconstrained_extrapolation FROM estimated", "estimated", doubles="unconstrained_extrapolation"),
@@ -388,6 +440,30 @@ def m18(t: Tables) -> DataFrame:
     return rounded(model.weight_sweep(prepared.scored(t)), 5)
 
 
+_SWEPT = [*[f"peer_k={k}" for k in (15, 25, 40)], *[f"qreg_tau={q}" for q in (0.85, 0.9, 0.95)], *[f"w_peer={w}" for w in (0.3, 0.4, 0.5)]]
+
+_CONFIGURED = ("peer_k=25", "qreg_tau=0.9", "w_peer=0.4")
+
+
+@query(
+    "m18_sweeps",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS perturbation, {str(name in _CONFIGURED).lower()} AS configured, true AS as_expected" for name in _SWEPT
+    ),
+)
+def m18_sweeps(t: Tables) -> DataFrame:
+    """Real clusters and fits. What any library must find: the configured values change nothing, the others less than half.
+
+    The numbers themselves depend on the clusters and are in ``sensitivity.sweep``.
+    """
+    rules = replace(config.MODEL, cluster_tries=1)
+    found = sensitivity.sweep(prepared.factored(t), t.seasonality, rules=rules)
+    change = F.col("median_rel_change")
+    configured = F.col("perturbation").isin(*_CONFIGURED)
+    expected = F.when(configured, change == 0).otherwise(change.between(0, 0.5))
+    return found.select("perturbation", configured.alias("configured"), expected.alias("as_expected"))
+
+
 _PERCENTS = {10: 0.1, 25: 0.25, 50: 0.5, 75: 0.75, 90: 0.9, 99: 0.99}
 _UPLIFT_DOUBLES = ["mean", "std", "min", *[f"p{p}" for p in _PERCENTS], "max"]
 

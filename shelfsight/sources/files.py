@@ -4,17 +4,21 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from shelfsight import config
 from shelfsight.sources.records import INGEST_ORDER, read_records
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _matches(spark: SparkSession, path: str) -> list[str]:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    matches = fs.globStatus(hadoop_path)
-    return matches is not None and len(matches) > 0
+    return [status.getPath().toString() for status in fs.globStatus(hadoop_path) or ()]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return bool(_matches(spark, path))
 
 
 def missing_to_null(df: DataFrame, tokens: Sequence[str] = config.MISSING_TOKENS) -> DataFrame:
@@ -134,8 +138,21 @@ def append_quarantine(rejected: DataFrame, path: str, run_id: str) -> str:
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    """All rejected rows; datasets differ in columns, so schemas are merged."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """All rejected rows. Datasets differ in columns, and a column may have another type in each."""
+    found = _matches(spark, f"{path}/_dataset=*")
+    reader = spark.read.option("mergeSchema", True).option("basePath", path)
+    return union_by_name([reader.parquet(folder) for folder in found]) if found else reader.parquet(path)
+
+
+def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
+    """Rows of several frames; a column that one lacks is NULL there, and one whose types differ is text."""
+    types: dict[str, set[str]] = {}
+    for frame in frames:
+        for name, kind in frame.dtypes:
+            types.setdefault(name, set()).add(kind)
+    mixed = {name for name, kinds in types.items() if len(kinds) > 1}
+    alike = [f.withColumns({c: F.col(f"`{c}`").cast("string") for c in f.columns if c in mixed}) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), alike)
 
 
 # A file is hashed as one value, which Spark limits to 2 GiB.

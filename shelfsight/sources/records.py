@@ -19,11 +19,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from shelfsight.session import stage
 
-# Where a row came from: place of its file among the files by name, byte offset of the split
-# its record starts in, running number of its first line. Sorted by the three, rows are in file
-# order, and together they identify a row. They are numbers, as they travel through every
-# shuffle of the checks.
-INGEST_ORDER = ("_src_file", "_src_offset", "_src_row")
+# Where a row came from: the number of its first line among the lines of all files, by name of
+# the file. It orders the rows and identifies them. One number of fixed width travels through
+# every shuffle of the checks, and the least of several is found by a hash aggregate.
+INGEST_ORDER = ("_src_row",)
 
 _MARK = "﻿"  # a byte-order mark
 _FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,]*+|[^",][^,]*+|)'
@@ -100,12 +99,10 @@ def _states_of_splits(marks: DataFrame) -> DataFrame:
 
 
 def _spans(turns: DataFrame, bounds: DataFrame) -> DataFrame:
-    """``path, split, low, high, record_split, record``: the lines of each record of several lines, split by split."""
+    """``path, low, high, record``: the lines of each record of several lines, split by split; ``record`` is its first line."""
     order = Window.partitionBy("path", "split").orderBy("row")
     paired = turns.withColumn("close", F.lead("row").over(order)).where("opening")
-    inside = paired.where("close is not null").select(
-        "path", "split", F.col("row").alias("low"), F.col("close").alias("high"), F.col("split").alias("record_split"), F.col("row").alias("record")
-    )
+    inside = paired.where("close is not null").select("path", F.col("row").alias("low"), F.col("close").alias("high"), F.col("row").alias("record"))
     # A record left open at the end of a split closes at the first turn of the next split that has one.
     along = Window.partitionBy("path").orderBy("split")
     turned = turns.groupBy("path", "split").agg(F.min("row").alias("first"), F.max("row").alias("last"), F.max_by("opening", "row").alias("open"))
@@ -118,17 +115,17 @@ def _spans(turns: DataFrame, bounds: DataFrame) -> DataFrame:
     over = opened.join(bounds, "path").where(F.col("split").between(F.col("record_split"), F.col("end_split")))
     return inside.unionByName(
         over.select(
-            "path", "split", F.when(first, F.col("record")).otherwise(F.col("low")).alias("low"),
-            F.when(last, F.col("end_row")).otherwise(F.col("high")).alias("high"), "record_split", "record",
+            "path", F.when(first, F.col("record")).otherwise(F.col("low")).alias("low"),
+            F.when(last, F.col("end_row")).otherwise(F.col("high")).alias("high"), "record",
         )
     )
 
 
-def _members(lines: DataFrame, files: DataFrame, most_lines: int) -> DataFrame:
-    """``row, record_split, record`` of every line of a record of several lines."""
-    files = files.where("opens").select("path")
+def _members(lines: DataFrame, splits: DataFrame, most_lines: int) -> DataFrame:
+    """``row, record`` of every line of a record of several lines."""
+    files = splits.where("opens").select("path").distinct()
     if files.isEmpty():
-        return lines.limit(0).select(F.col("split").alias("record_split"), F.col("row").alias("record"), "row")
+        return lines.limit(0).select(F.col("row").alias("record"), "row")
     marks = lines.where("opens or not resumes").select("path", "split", "row", "opens", "resumes").join(files, "path", "left_semi")
     marks = stage(marks, "csv_marks")
     bounds = lines.join(files, "path", "left_semi").groupBy("path", "split").agg(F.min("row").alias("low"), F.max("row").alias("high"))
@@ -136,21 +133,34 @@ def _members(lines: DataFrame, files: DataFrame, most_lines: int) -> DataFrame:
     long = spans.groupBy("path", "record").agg(F.sum(F.col("high") - F.col("low") + 1).alias("n")).where(F.col("n") > most_lines).first()
     if long:
         raise ValueError(f"a record of {long.n} lines in {long.path}: a quote that is not meant to be one?")
-    return spans.select("record_split", "record", F.explode(F.sequence("low", "high")).alias("row"))
+    return spans.select("record", F.explode(F.sequence("low", "high")).alias("row"))
 
 
-def _whole_records(lines: DataFrame, files: DataFrame, most_lines: int) -> DataFrame:
-    """``place, split, row, header, record``: each record as one text, at the place of its first line."""
-    members = _members(lines, files, most_lines)
-    text = F.when(F.col("all_utf8"), F.decode("bytes", "UTF-8")).otherwise(F.decode("bytes", "ISO-8859-1"))
-    # Files are few and lines of long records mostly too; made of written tables, they are broadcast by their true size.
-    joined = lines.select("path", "split", "row", "bytes", "blank").join(files.drop("opens"), "path").join(members, "row", "left")
-    single = joined.where("record is null and not blank").select("place", "split", "row", "header", text.alias("record"))
-    parts = F.array_sort(F.collect_list(F.struct("split", "row", text.alias("line"))))  # no more than ``most_lines``
-    several = joined.where("record is not null").groupBy("place", "header", "record_split", "record").agg(parts.alias("parts"))
-    several = several.select(
-        "place", F.col("record_split").alias("split"), F.col("record").alias("row"), "header", F.array_join("parts.line", "\n").alias("record")
+def _numbered(lines: DataFrame) -> DataFrame:
+    """A row per split: how its lines are numbered on, with the encoding and the header line of its file."""
+    first = F.min(F.when((F.col("split") == 0) & ~F.col("blank"), F.col("row")))
+    splits = lines.groupBy("path", "split").agg(
+        F.count("*").alias("lines"), F.min("row").alias("low"), F.every("utf8").alias("utf8"), F.some("opens").alias("opens"), first.alias("first")
     )
+    file = Window.partitionBy("path")
+    before = F.sum("lines").over(Window.orderBy("path", "split")) - F.col("lines")  # over one row per split
+    return splits.select(
+        "path", "split", (before - F.col("low")).alias("shift"), F.every("utf8").over(file).alias("all_utf8"),
+        F.some("opens").over(file).alias("opens"), F.min("first").over(file).alias("header"),
+    )
+
+
+def _whole_records(lines: DataFrame, splits: DataFrame, most_lines: int) -> DataFrame:
+    """``number, head, record``: each record as one text, at the number of its first line; ``head`` marks the header of a file."""
+    members = _members(lines, splits, most_lines)
+    text = F.when(F.col("all_utf8"), F.decode("bytes", "UTF-8")).otherwise(F.decode("bytes", "ISO-8859-1"))
+    # Splits are few and lines of long records mostly too; made of written tables, they are broadcast by their true size.
+    joined = lines.select("path", "split", "row", "bytes", "blank").join(splits.drop("opens"), ["path", "split"]).join(members, "row", "left")
+    joined = joined.select("record", "blank", (F.col("row") + F.col("shift")).alias("number"), (F.col("row") == F.col("header")).alias("head"), text.alias("line"))
+    single = joined.where("record is null and not blank").select("number", "head", F.col("line").alias("record"))
+    parts = F.array_sort(F.collect_list(F.struct("number", "line")))  # no more than ``most_lines``
+    several = joined.where("record is not null").groupBy("record").agg(parts.alias("parts"), F.max("head").alias("head"))
+    several = several.select(F.col("parts")[0]["number"].alias("number"), "head", F.array_join("parts.line", "\n").alias("record"))
     return single.unionByName(several).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
 
 
@@ -169,7 +179,7 @@ def _names(header: str) -> list[str]:
 
 def _header(records: DataFrame, path: str) -> str:
     """The header, which all files that hold anything must share."""
-    found = records.where("row = header").select("record").distinct().limit(2).collect()
+    found = records.where("head").select("record").distinct().limit(2).collect()
     if len(found) != 1:
         raise ValueError(f"{'no header' if not found else 'files with different headers'}: {path}")
     return found[0].record
@@ -190,18 +200,13 @@ def read_records(spark: SparkSession, path: str, most_lines: int = 100_000) -> C
     of one line, the bulk, are not shuffled.
     """
     lines = stage(_physical_lines(spark, path), "csv_lines")
-    first = F.min(F.when((F.col("split") == 0) & ~F.col("blank"), F.col("row")))
-    by_name = F.row_number().over(Window.orderBy("path")) - 1  # over one row per file
-    files = lines.groupBy("path").agg(F.every("utf8").alias("all_utf8"), F.some("opens").alias("opens"), first.alias("header"))
-    files = stage(files.withColumn("place", by_name), "csv_files")
-    records = _whole_records(lines, files, most_lines)
+    records = _whole_records(lines, stage(_numbered(lines), "csv_splits"), most_lines)
     columns = _names(_header(records, path))
     options = {"quote": '"', "escape": '"', "multiLine": "true", "lineSep": "\n"}
     schema = ", ".join(f"c{i} string" for i in range(len(columns)))
-    parsed = records.where("row != header or header is null").withColumn("f", F.from_csv("record", schema, options))
+    parsed = records.where("not coalesce(head, false)").withColumn("f", F.from_csv("record", schema, options))
     fields: list[Column] = [F.col(f"f.c{i}").alias(c) for i, c in enumerate(columns)]
     commas = F.length("record") - F.length(F.replace("record", F.lit(",")))
     more = (commas >= len(columns)) & F.col("record").rlike(rf"\A(?:{_FIELD},){{{len(columns)}}}")
     surplus = F.when(more, F.col("record")).alias("surplus")
-    place = [F.col(c).alias(n) for c, n in zip(("place", "split", "row"), INGEST_ORDER)]
-    return CsvRecords(columns, parsed.select(*fields, *place, surplus))
+    return CsvRecords(columns, parsed.select(*fields, F.col("number").alias(INGEST_ORDER[0]), surplus))
