@@ -41,16 +41,18 @@ class ChosenPath:
     depth: int = 6  # levels; what is still large then is compared in blocks
     leaf: int = 512  # documents that are compared exhaustively
     strangers: int = 2048  # documents outside the main component of a node with which its parts are compared exhaustively
-    margin: float = 0.6  # agreement of the coordinates from which a pair is looked at: four deviations below the threshold
+    margin: float = 0.55  # agreement of the coordinates from which a pair is looked at: five deviations below the threshold
     block: int = 300_000  # shingles that are compared with one document at a time, about
     whole: int = 2_000_000  # shingles of the documents of a node that are compared on full sets at once, about
 
     def __post_init__(self):
-        if self.trees > self.coordinates:
-            raise ValueError("a tree needs a coordinate of its own")
+        if not self.trees <= self.coordinates <= 255:
+            raise ValueError("a tree needs a coordinate of its own, and matches are counted in a byte")
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+# Documents of a group whose marks are all compared in one call: a few hundred kilobytes.
+_SMALL = 96
 
 
 def shingles(text: str | None, words: int) -> np.ndarray:
@@ -86,9 +88,12 @@ def _sketches(docs: DataFrame, rules: ChosenPath) -> DataFrame:
                 found = shingles(text, rules.words)
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 rows.append((doc, len(found), digest, signature(found, rules.coordinates).tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "digest", "sketch"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "digest", "sketch"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_shingles long, digest binary, sketch binary")
+    # Ids travel as text: beside a null, pandas would make numbers of them that are not exact.
+    named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    found = named.mapInPandas(run, "doc_id string, n_shingles long, digest binary, sketch binary")
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _token(coordinate: Column) -> Column:
@@ -122,23 +127,37 @@ def _together(rows: DataFrame, *key: str) -> DataFrame:
 
     Dealt by a hash of the key: a shuffle on the key itself is left out where a
     join has made it already, and the skew split of that join would then tear groups.
+    The number of partitions is fixed: merging small ones goes by bytes, and the
+    work of a group grows with the square of its rows.
     """
-    return rows.repartition(F.xxhash64(*key))
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, F.xxhash64(*key))
 
 
 def _agreement(group: pd.DataFrame, rules: ChosenPath) -> np.ndarray:
     """Share of equal coordinates of any two documents of a group, 0 where sizes or coordinates rule a link out.
 
     Two ``shared`` documents meet in another part of the node, and have 0 here.
+    Counted in bytes (there are no more than 255 coordinates) and for as many
+    documents at a time as fit the processor's cache.
     """
     marks = np.frombuffer(b"".join(group["marks"]), np.uint8).reshape(len(group), -1)
     n = group["n_shingles"].to_numpy()
     own = np.flatnonzero(~group["shared"].to_numpy(bool))
-    equal = np.zeros((len(own), len(group)), np.uint16)
-    for coordinate in np.ascontiguousarray(marks.T):
-        equal += coordinate[own, None] == coordinate
     out = np.zeros((len(group), len(group)), np.float32)
-    out[own] = equal / np.float32(marks.shape[1])
+    if len(group) <= _SMALL:  # most groups; one call for all coordinates
+        out[own] = (marks[own, None] == marks).sum(2, dtype=np.uint8) / np.float32(marks.shape[1])
+        own = own[:0]
+    columns = np.ascontiguousarray(marks.T)
+    height = max(1, (1 << 18) // len(group))
+    for lo in range(0, len(own), height):
+        some = own[lo : lo + height]
+        equal = np.zeros((len(some), len(group)), np.uint8)
+        same = np.empty(equal.shape, bool)
+        for coordinate in columns:
+            np.equal(coordinate[some, None], coordinate, out=same)
+            np.add(equal, same.view(np.uint8), out=equal)
+        out[some] = equal / np.float32(len(columns))
     out = np.maximum(out, out.T)
     near = np.minimum(n[:, None], n) * 100 >= np.maximum(n[:, None], n) * rules.percent
     out[(out < rules.margin) | ~near] = 0
@@ -166,6 +185,8 @@ def _central(rules: ChosenPath) -> Callable[[pd.DataFrame], list[tuple]]:
     """Each document with the neighbour that is nearest to all others, and how near that is."""
     def work(group: pd.DataFrame) -> list[tuple]:
         agree = _agreement(group, rules)
+        if not agree.any():
+            return []
         centre, ids = agree.sum(0), group["id"].to_numpy()
         order = np.lexsort((ids, -centre))
         rank = np.empty(len(ids), int)
@@ -199,13 +220,17 @@ def _open(rules: ChosenPath) -> Callable[[pd.DataFrame], list[tuple]]:
     most with one, and the document itself for the others.
     """
     def work(group: pd.DataFrame) -> list[tuple]:
-        agree, own, ids = _apart(group, rules), group["component"].to_numpy(), group["id"].to_numpy()
+        agree = _apart(group, rules)
+        if not agree.any():
+            return []
+        own, ids = group["component"].to_numpy(), group["id"].to_numpy()
         order = np.argsort(-agree.max(1), kind="stable")
         first = order[np.unique(own[order], return_index=True)[1]]
         nearest = ids.copy()
         nearest[first] = ids[agree[first].argmax(1)]
-        rows = group[["node", "part", "id", "component", "shared"]].assign(nearest=nearest)[agree.any(1)]
-        return list(rows.itertuples(index=False, name=None))
+        some = agree.any(1)
+        rows = [group[c].to_numpy()[some].tolist() for c in ("node", "part", "id", "component", "shared")]
+        return list(zip(*rows, nearest[some].tolist()))
 
     return work
 
