@@ -55,12 +55,32 @@ def _checked(lat: Column) -> Column:
     return F.when(F.abs(lat) <= MAX_LATITUDE, lat).otherwise(F.raise_error(message).cast("double"))
 
 
+def _hot_cells(a: DataFrame, b: DataFrame, most_pairs: int) -> DataFrame:
+    """The cells with too many candidates for one task, and into how many lines and rows of parts they are cut."""
+    left = a.groupBy(F.col("_ca").alias("_ha"), F.col("_co").alias("_ho")).agg(F.count("*").alias("_nl"))
+    right = b.groupBy(F.col("_ra").alias("_ha"), F.col("_ro").alias("_ho")).agg(F.count("*").alias("_nr"))
+    both = left.join(right, ["_ha", "_ho"]).where(F.col("_nl").cast("double") * F.col("_nr") > most_pairs)
+    parts = F.col("_nl").cast("double") * F.col("_nr") / most_pairs
+    # As a written table it has a known size, mostly none: it is broadcast and the rows stay in place.
+    cut = both.withColumn("_lines", F.least(F.ceil(F.sqrt(parts * F.col("_nl") / F.col("_nr"))), F.col("_nl")))
+    return stage(cut.select("_ha", "_ho", "_lines", F.ceil(parts / F.col("_lines")).alias("_rows")), "hot_cells")
+
+
+def _dealt(df: DataFrame, hot: DataFrame, row: str, column: str, position: Sequence[str], own: str, other: str, side: str) -> DataFrame:
+    """Rows with their line in a hot cell, repeated for each line of the other side; one line elsewhere."""
+    joined = df.join(hot, (F.col(row) == F.col("_ha")) & (F.col(column) == F.col("_ho")), "left")
+    line = F.coalesce(F.pmod(F.xxhash64(*position), F.col(own)), F.lit(0))
+    others = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(other), F.lit(1)).cast("long") - 1)
+    return joined.withColumn(f"{side}_own", line).withColumn(f"{side}_other", F.explode(others)).drop("_ha", "_ho", "_lines", "_rows")
+
+
 def radius_join(
     left: DataFrame,
     right: DataFrame,
     radius_m: float,
     left_position: Sequence[str] = ("latitude", "longitude"),
     right_position: Sequence[str] = ("lat", "lon"),
+    most_pairs: int = 4_000_000,
 ) -> DataFrame:
     """Pairs no further apart than the radius, with ``distance_m``.
 
@@ -70,6 +90,10 @@ def radius_join(
     position have no partner. Callers collapse equal positions first (see
     :func:`places`), so a crowd at one spot is a single row here.
 
+    The rows of each cell are counted first. A cell with more than ``most_pairs``
+    candidates is cut into a square of parts: a row is dealt to a line of it by
+    its position and repeated along that line, so each part is a task's work.
+
     Poles and the antimeridian are out of scope.
     """
     if radius_m <= 0:
@@ -83,12 +107,15 @@ def radius_join(
     b = b.select("*", F.explode(F.array(own_row - 1, own_row, own_row + 1)).alias("_ra"))
     b = b.withColumn("_own", _cell(F.col("_ra"), F.col(rlon), radius_m))
     b = b.select("*", F.explode(F.array(F.col("_own") - 1, F.col("_own"), F.col("_own") + 1)).alias("_ro")).drop("_own")
-    pairs = a.join(b, (F.col("_ca") == F.col("_ra")) & (F.col("_co") == F.col("_ro")))
+    hot = _hot_cells(a, b, most_pairs)
+    a, b = _dealt(a, hot, "_ca", "_co", left_position, "_lines", "_rows", "_l"), _dealt(b, hot, "_ra", "_ro", right_position, "_rows", "_lines", "_r")
+    same = [F.col(x) == F.col(y) for x, y in (("_ca", "_ra"), ("_co", "_ro"), ("_l_own", "_r_other"), ("_l_other", "_r_own"))]
+    pairs = a.join(b, reduce(lambda x, y: x & y, same))
     distance = haversine_m(F.col(llat), F.col(llon), F.col(rlat), F.col(rlon))
     return (
         pairs.withColumn("distance_m", distance)
         .where(F.col("distance_m") <= radius_m)
-        .drop("_ca", "_co", "_ra", "_ro")
+        .drop("_ca", "_co", "_ra", "_ro", "_l_own", "_l_other", "_r_own", "_r_other")
     )
 
 

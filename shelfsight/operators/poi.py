@@ -121,6 +121,13 @@ def _none_around(df: DataFrame, radii_m: Sequence[int]) -> DataFrame:
     return df.fillna(zero)
 
 
+def _sites(outlets: DataFrame, limit: int | None) -> DataFrame:
+    sites = outlets.select("outlet_id", "latitude", "longitude").where(
+        "outlet_id is not null and latitude is not null and longitude is not null"
+    )
+    return sites.orderBy("outlet_id").limit(limit) if limit else sites
+
+
 def poi_features(
     outlets: DataFrame,
     poi: DataFrame,
@@ -129,11 +136,7 @@ def poi_features(
     limit: int | None = None,
 ) -> DataFrame:
     """One wide row per outlet with coordinates (or the first ``limit`` of them by id)."""
-    sites = outlets.select("outlet_id", "latitude", "longitude").where(
-        "outlet_id is not null and latitude is not null and longitude is not null"
-    )
-    if limit:
-        sites = sites.orderBy("outlet_id").limit(limit)
+    sites = _sites(outlets, limit)
     spots = features_from_hits(site_hits(sites, locate(poi), radii_m), ["latitude", "longitude"], radii_m, kernel)
     return _none_around(sites.join(spots, ["latitude", "longitude"], "left"), radii_m).select(
         "outlet_id", *column_names(radii_m)
@@ -145,10 +148,9 @@ def poi_features_from_responses(
     responses: DataFrame,
     radii_m: Sequence[int] = config.SPATIAL.radii_m,
     kernel: str = config.SPATIAL.kernel,
+    limit: int | None = None,
 ) -> DataFrame:
     """The same table from saved responses; an outlet without a response has none around."""
-    sites = outlets.select("outlet_id", "latitude", "longitude").where(
-        "outlet_id is not null and latitude is not null and longitude is not null"
-    )
+    sites = _sites(outlets, limit)
     found = features_from_hits(response_hits(responses, sites), ["outlet_id"], radii_m, kernel)
     return _none_around(sites.join(found, "outlet_id", "left"), radii_m).select("outlet_id", *column_names(radii_m))

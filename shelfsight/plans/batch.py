@@ -18,7 +18,7 @@ from shelfsight.functions import scalar as S
 from shelfsight.operators import budget, engine, gold, model, poi, quantile_regression, silver, spatial
 from shelfsight.operators.checks import FAILED_STEP
 from shelfsight.plans import cleaning
-from shelfsight.session import tune
+from shelfsight.session import scratch, tune
 from shelfsight.sources import files
 
 logger = logging.getLogger(__name__)
@@ -200,7 +200,7 @@ def build_poi(spark: SparkSession, layout: Layout, limit: int | None = None) ->
     if points is not None:
         table = poi.poi_features(outlets, points, limit=limit)
     elif files.path_exists(spark, layout.poi_responses):
-        table = poi.poi_features_from_responses(outlets, files.read_poi_responses(spark, layout.poi_responses))
+        table = poi.poi_features_from_responses(outlets, files.read_poi_responses(spark, layout.poi_responses), limit=limit)
     else:
         logger.info("no points of interest; features go without")
         return None
@@ -277,13 +277,17 @@ def run_all(
     model_rules: config.ModelRules = config.MODEL,
     budget_rules: config.BudgetRules = config.BUDGET,
 ) -> dict[str, DataFrame]:
-    """All six stages. Returns manifest, check summary, estimates and budget summary."""
+    """All six stages. Returns manifest, check summary, estimates and budget summary.
+
+    What the stages write for themselves in the shared folder is deleted at the end.
+    """
     layout = Layout(root.rstrip("/"), team)
-    tune(spark)
-    manifest = ingest(spark, layout)
-    checks = clean_all(spark, layout)
-    if not skip_poi:
-        build_poi(spark, layout, poi_limit)
-    build_gold(spark, layout)
-    estimates = run_model(spark, layout, model_rules)
-    return {"manifest": manifest, "checks": checks, "estimates": estimates, "budget": run_budget(spark, layout, budget_rules)}
+    with scratch(tune(spark)):
+        manifest = ingest(spark, layout)
+        checks = clean_all(spark, layout)
+        if not skip_poi:
+            build_poi(spark, layout, poi_limit)
+        build_gold(spark, layout)
+        estimates = run_model(spark, layout, model_rules)
+        summary = run_budget(spark, layout, budget_rules)
+    return {"manifest": manifest, "checks": checks, "estimates": estimates, "budget": summary}

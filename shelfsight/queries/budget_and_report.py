@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
-from shelfsight.operators import budget, model, profile, report
+from shelfsight import config
+from shelfsight.operators import budget, model, profile, quantile_regression, report
 from shelfsight.operators.engine import union_rejects
 from shelfsight.queries import prepared
 from shelfsight.queries.base import query, rounded, sql
 from shelfsight.queries.blocks import MASTER_DOUBLES, block
 from shelfsight.queries.sources_and_checks import all_results, blackouts, constant_runs, d10
+from shelfsight.session import stage
 from shelfsight.sources.adapters import SOURCE_TABLES, Tables
 
 # ---------------------------------------------------------------------------
@@ -409,6 +413,33 @@ def r15(t: Tables) -> DataFrame:
     return report.explanation(m.withColumns({c: F.round(c, d) for c, d in digits.items()}))
 
 
+@query(
+    "b9_real_chain",
+    sql(
+        """SELECT count(*) AS outlets, count(*) FILTER (province = 'Western') AS western, 0 AS below_own_maximum, 0 AS missing,
+                  true AS within_budget, 0 AS off_step FROM features""",
+        "features",
+    ),
+)
+def b9(t: Tables) -> DataFrame:
+    """From the features to the budget with real groups and a real regression, by what holds whatever these find."""
+    rules = replace(config.MODEL, cluster_tries=1)
+    features = prepared.factored(t).drop("peer_cluster", "quantile_regression")
+    joined = features.join(model.peer_clusters(features, rules), "outlet_id", "left")
+    joined = joined.join(quantile_regression.estimate(features, rules=rules), "outlet_id", "left")
+    scored = stage(model.with_estimates(stage(joined, "model_inputs"), t.seasonality, rules=rules), "estimates")
+    spent = stage(budget.allocate(budget.allocation_inputs(scored, model.factor_table(scored))), "spent")
+    missing = model.prediction_faults(scored).select((F.col("n_missing") + F.col("n_negative")).cast("int").alias("missing"))
+    faults = budget.allocation_faults(spent).select(
+        (F.col("total_spend") <= config.BUDGET.total + 1e-6).alias("within_budget"), (F.col("n_negative") + F.col("n_off_step")).cast("int").alias("off_step")
+    )
+    counts = scored.agg(
+        F.count("*").alias("outlets"), F.count_if(F.col("province") == config.BUDGET.province).alias("western"),
+        F.count_if(F.col("mult_potential") < F.coalesce("hist_total_max", F.lit(0.0))).cast("int").alias("below_own_maximum"),
+    )
+    return counts.crossJoin(missing).crossJoin(faults)  # a row each
+
+
 # ---------------------------------------------------------------------------
 # Profiles
 # ---------------------------------------------------------------------------

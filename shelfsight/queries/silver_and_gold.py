@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 
 from shelfsight import config
-from shelfsight.operators import gold, silver
+from shelfsight.operators import gold, poi, silver, spatial
 from shelfsight.queries import prepared
 from shelfsight.queries.base import query, rounded, sql
 from shelfsight.queries.blocks import NEAREST_DIGITS, ONE_HOT, POI_DOUBLES, PROVINCE_SQL, ROLL_UP_DOUBLES, block, hot
@@ -290,21 +290,26 @@ def g16(t: Tables) -> DataFrame:
     "g17_gold_from_lines",
     sql(
         """SELECT m.outlet_id, count(*) AS months, sum(volume_total) AS volume, sum(volume_total_deflated) AS deflated,
-                  any_value(constraint_uplift) AS constraint_uplift
-           FROM monthly m JOIN uplift u ON m.outlet_id = u.outlet_id GROUP BY m.outlet_id""",
+                  any_value(constraint_uplift) AS constraint_uplift, any_value(seasonality_jan_index) AS seasonality_jan_index,
+                  any_value(poi_total_1000m) AS poi_total_1000m, any_value(poi_accessibility) AS poi_accessibility,
+                  any_value(saturation_index) AS saturation_index, any_value(spatial_multiplier) AS spatial_multiplier
+           FROM monthly m JOIN factored f ON m.outlet_id = f.outlet_id GROUP BY m.outlet_id""",
         "monthly",
-        "uplift",
-        doubles="volume deflated constraint_uplift",
+        "factored",
+        doubles="volume deflated constraint_uplift seasonality_jan_index poi_accessibility saturation_index spatial_multiplier",
         digits=4,
     ),
 )
 def g17(t: Tables) -> DataFrame:
-    """Monthly and outlet table built afresh, with a written table between them."""
+    """Monthly and outlet table with all factors built afresh, with written tables in between as in the batch run."""
     months = stage(prepared.monthly_plan(t), "months")
-    outlets = gold.with_constraint_uplift(gold.outlet_features(prepared.outlet_master(t), months))
+    plain = gold.outlet_features(prepared.outlet_master(t), months, poi.poi_features(t.coordinates, t.poi))
+    outlets = gold.with_season_index(gold.with_constraint_uplift(stage(plain, "plain_features")), t.seasonality)
+    outlets = spatial.with_spatial_factors(outlets)
     sums = months.groupBy("outlet_id").agg(
         F.count("*").alias("months"), F.sum("volume_total").alias("volume"), F.sum("volume_total_deflated").alias("deflated")
     )
-    return rounded(sums.join(outlets.select("outlet_id", "constraint_uplift"), "outlet_id"), 4)
+    factors = ("constraint_uplift", "seasonality_jan_index", "poi_total_1000m", "poi_accessibility", "saturation_index", "spatial_multiplier")
+    return rounded(sums.join(outlets.select("outlet_id", *factors), "outlet_id"), 4)
 
 

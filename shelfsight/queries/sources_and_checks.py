@@ -124,7 +124,15 @@ def quarantine(t: Tables) -> DataFrame:
     return files.read_quarantine(t.spark, path).groupBy("_dataset", "failure_reason").agg(F.count("*").alias("n"))
 
 
-@query("s11_poi_responses")
+@query(
+    "s11_poi_responses",
+    sql(
+        """SELECT 'OUT_' || CAST(CAST(floor(poi_id / 40.0) AS BIGINT) AS STRING) AS outlet_id, CAST(500 AS INT) AS radius_m, count(*) AS elements,
+                  count(*) FILTER (coalesce(amenity, tourism, highway, railway, leisure, shop) IS NOT NULL) AS tagged
+           FROM poi_flat GROUP BY 1""",
+        "poi_flat",
+    ),
+)
 def poi_responses(t: Tables) -> DataFrame:
     """Responses of forty points each, saved as JSON lines and read back."""
     element = F.struct("lat", "lon", "center", "tags")

@@ -222,6 +222,33 @@ def m3(t: Tables) -> DataFrame:
     return clusters.groupBy("peer_cluster").agg(F.count("*").alias("outlets"))
 
 
+@query(
+    "m3_cluster_invariants",
+    sql("SELECT count(*) AS outlets, true AS few_groups, true AS nearest_own_centre FROM features", "features"),
+)
+def m3_invariants(t: Tables) -> DataFrame:
+    """What every settled clustering has: no more groups than asked for, and outlets nearest to the middle of their own.
+
+    A round may move the middles a last little bit, so one outlet in fifty may lie between two.
+    """
+    f = prepared.features(t)
+    rules = replace(config.MODEL, cluster_tries=1)
+    values = model.feature_values(f, model.peer_columns(f))[0].join(model.peer_clusters(f, rules), "outlet_id")
+    middles = values.select("peer_cluster", F.posexplode("features").alias("i", "v")).groupBy("peer_cluster", "i").agg(F.avg("v").alias("m"))
+    middles = middles.groupBy("peer_cluster").agg(F.array_sort(F.collect_list(F.struct("i", "m")))["m"].alias("middle")).collect()  # a row per group
+    away = [
+        F.struct(
+            F.aggregate(F.zip_with("features", F.lit(list(r.middle)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x).alias("d"),
+            F.lit(r.peer_cluster).alias("c"),
+        )
+        for r in middles
+    ]
+    own = (F.array_min(F.array(*away))["c"] == F.col("peer_cluster")).cast("int")
+    return values.agg(
+        F.count("*").alias("outlets"), (F.count_distinct("peer_cluster") <= rules.clusters).alias("few_groups"), (F.avg(own) >= 0.98).alias("nearest_own_centre")
+    )
+
+
 @query(
     "m4_peer_ceiling",
     sql("SELECT outlet_id, peer_ceiling FROM peered", "peered", doubles="peer_ceiling", digits=4),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,8 +72,24 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 def drop_stages(spark: SparkSession) -> None:
     """Delete the stage tables this process has written. Frames over them cannot be read any more."""
-    while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    _delete(spark, _STAGED)
+    _STAGED.clear()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the stage tables written inside. Frames over them cannot be read any more."""
+    before = len(_STAGED)
+    try:
+        yield
+    finally:
+        _delete(spark, _STAGED[before:])
+        del _STAGED[before:]
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

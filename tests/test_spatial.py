@@ -182,3 +182,25 @@ def test_accessibility_and_saturation(frame):
     df = frame("poi_access_market_1000m double, poi_access_shop_1000m double, poi_count_shop_500m int, own_network_density double", (2.0, 9.0, 3, 1.0))
     assert df.select(spatial.accessibility(df)).first()[0] == pytest.approx(2.6)
     assert df.select(spatial.saturation(df)).first()[0] == 2.5
+
+
+def test_hot_cells_are_cut_into_parts(spark):
+    """One cell holds nearly all points: no task gets more candidates than allowed, and no pair is lost or doubled."""
+    rng = random.Random(9)
+    deg = math.degrees(500 / config.EARTH_RADIUS_M)
+    left = [(i, rng.random() * deg / 4, rng.random() * deg / 4) for i in range(300)] + [(1000 + i, rng.random() * 9 * deg, 0.1) for i in range(30)]
+    right = [(i, rng.random() * deg / 4, rng.random() * deg / 4) for i in range(200)] + [(2000 + i, rng.random() * 9 * deg, 0.1) for i in range(30)]
+    a = spark.createDataFrame(left, "l int, latitude double, longitude double")
+    b = spark.createDataFrame(right, "r int, lat double, lon double")
+    want = sorted((i, j) for i, *p in left for j, *q in right if metres(*p, *q) <= 500.0)
+    for most in (1, 500, 4_000_000):
+        found = geo.radius_join(a, b, 500.0, most_pairs=most)
+        assert rows(found, "l", "r") == rows(spark.createDataFrame(want, "l int, r int")) and "_l_own" not in found.columns
+    cells = a.select("*", geo._row(F.col("latitude"), 500.0).alias("_ca")).withColumn("_co", geo._cell(F.col("_ca"), F.col("longitude"), 500.0))
+    there = b.select("*", geo._row(F.col("lat"), 500.0).alias("_ra")).withColumn("_ro", geo._cell(F.col("_ra"), F.col("lon"), 500.0))
+    hot = geo._hot_cells(cells, there, 500)
+    dealt = geo._dealt(cells, hot, "_ca", "_co", ("latitude", "longitude"), "_lines", "_rows", "_l").groupBy("_ca", "_co", "_l_own", "_l_other").count()
+    other = geo._dealt(there, hot, "_ra", "_ro", ("lat", "lon"), "_rows", "_lines", "_r").groupBy("_ra", "_ro", "_r_own", "_r_other").count()
+    sizes = {tuple(r)[:4]: r["count"] for r in dealt.collect()}
+    pairs = [sizes.get((r._ra, r._ro, r._r_other, r._r_own), 0) * r["count"] for r in other.collect()]
+    assert max(pairs) <= 4 * 500 and len(pairs) > 60
