@@ -29,8 +29,8 @@ def _bytes_of_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-def _fast_engine(path: str, library) -> Callable[[list[str]], list[list[int]]]:
-    """Ids of parts without special tokens, of a batch at a time.
+def _fast_engine(path: str, library) -> tuple[Callable[[str], list[int]], Callable[[list[str]], list[list[int]]]]:
+    """Ids of a part without special tokens, and of a batch of parts.
 
     A byte-level vocabulary whose ids follow its merges gives the same ids in
     the ``tiktoken`` library, several times faster; any other goes through
@@ -43,13 +43,17 @@ def _fast_engine(path: str, library) -> Callable[[list[str]], list[list[int]]]:
     merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model.get("merges", ())]
     ranks = [model["vocab"][m] for m in merged] if plain else [1, 0]
     if ranks != sorted(ranks) or len(merged) + 256 != len(model["vocab"]):
-        return lambda parts: [e.ids for e in library.encode_batch(parts, add_special_tokens=False)]
+        return (
+            lambda part: library.encode(part, add_special_tokens=False).ids,
+            lambda parts: [e.ids for e in library.encode_batch(parts, add_special_tokens=False)],
+        )
     import tiktoken
 
     to_byte = _bytes_of_characters()
     vocab = {bytes(to_byte[c] for c in token): number for token, number in model["vocab"].items()}
     engine = tiktoken.Encoding("part", pat_str=BYTE_LEVEL, mergeable_ranks=vocab, special_tokens={})
-    return lambda parts: engine.encode_ordinary_batch(parts, num_threads=1)  # a task has one core
+    # A task has one core; a batch starts a thread, which a single part does without.
+    return engine.encode_ordinary, lambda parts: engine.encode_ordinary_batch(parts, num_threads=1)
 
 
 class Encoder:
@@ -60,12 +64,12 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.engine = _fast_engine(path, self.library)
+        self.engine, self.engine_of_batch = _fast_engine(path, self.library)
 
     def encode(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):  # the library cuts white space before one in another way
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.concatenate([np.array(ids, "<u4") for ids in self.engine(split(text))])
+        return np.concatenate([np.array(ids, "<u4") for ids in map(self.engine, split(text))])
 
     def lengths(self, texts: list[str]) -> np.ndarray:
         """How many ids each text has. The parts of all texts are encoded in batches of about the same bytes."""
@@ -80,7 +84,7 @@ class Encoder:
                 owners += [at] * len(own)
         sizes = [len(part.encode()) for part in parts]
         for lo, hi in batches(sizes, BATCH_BYTES):
-            np.add.at(out, owners[lo:hi], [len(ids) for ids in self.engine(parts[lo:hi])])
+            np.add.at(out, owners[lo:hi], [len(ids) for ids in self.engine_of_batch(parts[lo:hi])])
         return out
 
 
