@@ -28,7 +28,8 @@ def allocation_inputs(
     df = features.select(*keep)
     if "province" in keep:
         df = df.where(F.col("province") == rules.province)
-    df = df.join(factors.select("outlet_id", F.col("mult_potential").alias("potential")), "outlet_id", "left")
+    # A row per outlet: two columns of a wide table look small enough to broadcast, whatever the rows.
+    df = df.join(factors.select("outlet_id", F.col("mult_potential").alias("potential")).hint("merge"), "outlet_id", "left")
 
     def at_least_zero(x: Column) -> Column:
         return F.greatest(F.coalesce(x.cast("double"), F.lit(0.0)), F.lit(0.0))

@@ -204,3 +204,15 @@ def test_hot_cells_are_cut_into_parts(spark):
     sizes = {tuple(r)[:4]: r["count"] for r in dealt.collect()}
     pairs = [sizes.get((r._ra, r._ro, r._r_other, r._r_own), 0) * r["count"] for r in other.collect()]
     assert max(pairs) <= 4 * 500 and len(pairs) > 60
+
+
+def test_sides_repeated_by_an_explode_are_not_broadcast(spark, tmp_path):
+    """The files are small, but the planner does not see that each row of a side is repeated."""
+    for name, columns in (("left", ("latitude", "longitude")), ("right", ("lat", "lon"))):
+        spark.range(50).selectExpr(f"id * 0.001 AS {columns[0]}", f"id * 0.002 AS {columns[1]}").write.parquet(f"{tmp_path}/{name}")
+    left, right = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("left", "right"))
+    plan = geo.radius_join(left, right, 500.0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_ca" in plan  # the hot cells, counted and written, may be broadcast
+    near = geo.counts_within(geo.places(left, "latitude", "longitude"), "latitude", "longitude", "n", 500.0, direct=4)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_level" in plan and "BroadcastHashJoin" not in plan
