@@ -51,6 +51,8 @@ def monthly_totals(lines: DataFrame, order: Sequence[str]) -> DataFrame:
         "volume_purchases": "_purchase_vol", "bill_total": "total_bill_value",
     }
     mark = F.xxhash64("distributor_id")
+    # Written once: what the lines are made of is not worked out for each of three passes.
+    lines = stage(lines.select(*dict.fromkeys([*MONTH_KEYS, "sku_id", "distributor_id", *sums.values(), *order])), "lines")
     marked = lines.withColumn("_mark", F.when(F.col("distributor_id").isNotNull(), mark))
     marks = [F.min("_low").alias("_low"), F.max("_high").alias("_high")]
     by_product = marked.groupBy(*MONTH_KEYS, "sku_id").agg(
@@ -64,6 +66,7 @@ def monthly_totals(lines: DataFrame, order: Sequence[str]) -> DataFrame:
     alike = F.raise_error(F.lit("two distributors with one hash")).cast("string")
     names = lines.where("distributor_id is not null").select("distributor_id", mark.alias("_low")).distinct()
     names = names.groupBy("_low").agg(F.when(F.count("*") == 1, F.min("distributor_id")).otherwise(alike).alias("_only"))
+    names = stage(names, "distributor_names")
     mixed = months.where("_low <> _high").select(*[F.col(k).alias(f"_m_{k}") for k in MONTH_KEYS])
     same = S.all_of(F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in MONTH_KEYS)
     first = lines.where("distributor_id is not null").join(mixed, same, "left_semi")
@@ -126,7 +129,8 @@ def deflate(monthly: DataFrame, seasonality: DataFrame | None, season_order: Seq
     if seasonality is not None and "seasonality_index" in seasonality.columns:
         keys = [c for c in ("distributor_id", "year", "month") if c in seasonality.columns and c in monthly.columns]
         if keys:
-            df = df.join(one_per_key(seasonality, keys, "seasonality_index", season_order), keys, "left")
+            # As a written table it has a known size: small, it is broadcast and the months stay in place.
+            df = df.join(stage(one_per_key(seasonality, keys, "seasonality_index", season_order), "season"), keys, "left")
             index = F.col("seasonality_index")
     index = F.coalesce(F.nullif(index, F.lit(0.0)), F.lit(1.0))
     return df.withColumn("seasonality_index", index).withColumn(

@@ -143,3 +143,11 @@ def test_lines_are_summed_up_by_hash_aggregates(spark, lines, capsys, monkeypatc
     gold.monthly_totals(gold.split_volumes(lines), ["at"])
     assert [name for name, _ in plans] == ["month_totals", "first_distributors"]
     assert "SortAggregate" not in plans[0][1] and "HashAggregate" in plans[0][1]
+
+
+def test_months_do_not_read_the_source_again(spark, lines, tmp_path):
+    """The lines are written once; the table of months is put together from written tables alone."""
+    lines.write.parquet(f"{tmp_path}/source")
+    months = gold.monthly_totals(gold.split_volumes(spark.read.parquet(f"{tmp_path}/source")), ["at"])
+    assert not [f for f in months.inputFiles() if str(tmp_path) in f]
+    assert sorted(r.n_lines for r in months.collect()) == [1, 1, 3]
