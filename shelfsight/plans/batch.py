@@ -238,7 +238,7 @@ def run_model(spark: SparkSession, layout: Layout, rules: config.ModelRules = co
     features = spark.read.parquet(layout.gold("outlet_features"))
     clusters = model.peer_clusters(features, rules)
     regression = quantile_regression.estimate(features, rules=rules)
-    joined = features.join(clusters, "outlet_id", "left").join(regression, "outlet_id", "left")
+    joined = features.join(clusters.hint("merge"), "outlet_id", "left").join(regression.hint("merge"), "outlet_id", "left")
     files.write_parquet(joined, layout.gold("_model_inputs"))
     estimates = model.with_estimates(
         spark.read.parquet(layout.gold("_model_inputs")), _optional(spark, layout.seasonality), rules=rules

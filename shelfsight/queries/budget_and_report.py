@@ -425,8 +425,8 @@ def b9(t: Tables) -> DataFrame:
     """From the features to the budget with real groups and a real regression, by what holds whatever these find."""
     rules = replace(config.MODEL, cluster_tries=1)
     features = prepared.factored(t).drop("peer_cluster", "quantile_regression")
-    joined = features.join(model.peer_clusters(features, rules), "outlet_id", "left")
-    joined = joined.join(quantile_regression.estimate(features, rules=rules), "outlet_id", "left")
+    joined = features.join(model.peer_clusters(features, rules).hint("merge"), "outlet_id", "left")
+    joined = joined.join(quantile_regression.estimate(features, rules=rules).hint("merge"), "outlet_id", "left")
     scored = stage(model.with_estimates(stage(joined, "model_inputs"), t.seasonality, rules=rules), "estimates")
     spent = stage(budget.allocate(budget.allocation_inputs(scored, model.factor_table(scored))), "spent")
     missing = model.prediction_faults(scored).select((F.col("n_missing") + F.col("n_negative")).cast("int").alias("missing"))

@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from shelfsight.operators import gold, silver
 
@@ -151,3 +152,18 @@ def test_months_do_not_read_the_source_again(spark, lines, tmp_path):
     months = gold.monthly_totals(gold.split_volumes(spark.read.parquet(f"{tmp_path}/source")), ["at"])
     assert not [f for f in months.inputFiles() if str(tmp_path) in f]
     assert sorted(r.n_lines for r in months.collect()) == [1, 1, 3]
+
+
+def test_tables_of_outlets_are_not_broadcast_and_made_once(spark, tmp_path):
+    """A file of keys is small, but not what is made of its rows; and the counts of categories do not read the source again."""
+    spark.range(60).selectExpr("id", "id * 0.01 AS latitude", "id * 0.02 AS longitude").write.parquet(f"{tmp_path}/source")
+    source = spark.read.parquet(f"{tmp_path}/source").withColumn("outlet_id", F.concat(F.lit("OUT_"), "id"))
+    outlets = silver.enrich_outlets(source.select("outlet_id", F.lit("Kiosk").alias("outlet_type")), source)
+    plan = outlets._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    months = spark.createDataFrame([("OUT_1", 2024, 1, 5.0, 5.0, False, 2, 0.0, 1.0)], "outlet_id string, year int, month int, volume_total double, "
+                                   "volume_total_deflated double, is_constrained boolean, sku_diversity long, return_share double, bill_total double")
+    found = gold.outlet_features(outlets, months, source.select("outlet_id", F.col("id").alias("poi_total_500m")))
+    assert [r.poi_total_500m for r in found.where("months_observed = 1").collect()] == [1] and found.count() == 60
+    made = gold.outlet_features(outlets, months)
+    assert made.count() == 60 and not [f for f in made.inputFiles() if str(tmp_path) in f]
