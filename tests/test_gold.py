@@ -167,3 +167,17 @@ def test_tables_of_outlets_are_not_broadcast_and_made_once(spark, tmp_path):
     assert [r.poi_total_500m for r in found.where("months_observed = 1").collect()] == [1] and found.count() == 60
     made = gold.outlet_features(outlets, months)
     assert made.count() == 60 and not [f for f in made.inputFiles() if str(tmp_path) in f]
+
+
+def test_lines_of_mixed_months_are_not_shuffled(spark, lines, capsys, monkeypatch):
+    """The first distributor of a month of several comes from an aggregate, whose lines combine before the shuffle; no join moves the lines."""
+    plans = []
+
+    def stage(df, name):
+        df.explain()
+        plans.append(capsys.readouterr().out)
+        return df
+
+    monkeypatch.setattr(gold, "stage", stage)
+    gold.monthly_totals(gold.split_volumes(lines), ["at"])
+    assert plans[1].count("Exchange") == 1 and not any("Join" in p for p in plans)
