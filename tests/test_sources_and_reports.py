@@ -1,4 +1,5 @@
 import csv
+import datetime
 import hashlib
 import io
 import random
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfsight.operators import profile, report
 from shelfsight.session import shared_dir, stage
 from shelfsight.sources import files, records
+from shelfsight.sources.adapters import Tables
 
 
 def test_csv_encodings_and_missing_tokens(spark, tmp_path):
@@ -209,3 +211,14 @@ def test_profiles(frame):
     assert [str(x)[:10] for x in profile.date_range(dates, "d").first()] == ["2023-12-31", "2024-01-05"]
     months = frame("outlet_id string, volume_total double, volume_total_deflated double", ("a", 1.0, 1.0), ("a", 3.0, 3.0), ("b", 5.0, 5.0))
     assert profile.median_variation(months).first().median_cv_raw == pytest.approx(2**0.5 / 2)
+
+
+def test_season_labels_join_the_lines_once(spark, frame, tmp_path):
+    orders = frame("o_orderkey long, o_orderdate timestamp_ntz", (1, datetime.datetime(1998, 1, 5)), (2, datetime.datetime(1998, 2, 5)), (3, None))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    frame("l_orderkey long, l_suppkey long", (1, 10), (1, 20), (1, 3), (2, 3), (3, 3), (9, 1)).write.parquet(str(tmp_path / "lineitem.parquet"))
+    t = Tables(spark, str(tmp_path))
+    for df in (t.seasonality, t.seasonality_raw):
+        assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(t.seasonality, "year", "month") == [(None, None), (2022, 1), (2022, 1), (2022, 2)]
+    assert [r[2:] for r in rows(t.seasonality_raw, "year", "month", "src_copy")].count((0,)) == 4
