@@ -11,6 +11,8 @@ from shelfsight.session import stage
 
 #: Everything but ASCII letters (in lower case), digits and characters beyond ASCII.
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
+#: The same for texts as they are, with letters in either case.
+SEPARATORS_ANY_CASE = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 
 
 @dataclass(frozen=True)
@@ -143,8 +145,8 @@ def contamination(docs: DataFrame, items: DataFrame, rules: PhraseRules = Phrase
     covered = spans.withColumn("fresh", fresh).groupBy("doc_id").agg(F.sum("fresh").alias("n_hit"))
     named = hits.groupBy("doc_id").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     found = covered.join(named, "doc_id")
-    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))  # in either case
-    sized = docs.select("doc_id", words.cast("long").alias("n_words"))
+    # Cut at separators: a pattern of the words themselves, matched one by one, takes ten times as long.
+    sized = docs.select("doc_id", F.size(words_of(F.col("text"), SEPARATORS_ANY_CASE)).cast("long").alias("n_words"))
     items_ = F.sort_array(F.coalesce("items", F.array().cast("array<string>")))
     return (
         sized.join(found, "doc_id", "left")

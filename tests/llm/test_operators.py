@@ -437,6 +437,16 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.contamination(empty, bench).count() == 0
 
 
+def test_words_are_counted_by_cutting(spark):
+    texts = ["", " ", "a", "--A--", "Z[b`c{D@E/F:9", "\x00é ß\x7fÀ\x80x", "İ 𐐀_Word\n\tend.", "x" * 9 + " !" * 50, None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontamination.contamination(docs, spark.createDataFrame([(1, "none of it")], "item_id long, text string"))
+    of = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", fold(t or ""))
+    assert {r.doc_id: r.n_words for r in found.collect()} == {k: len(of(t)) for k, t in enumerate(texts)}
+    # Matching the words one by one takes ten times as long as cutting at what is between them.
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_near_phrases(spark):
     docs = spark.createDataFrame([(1, "q a b c d e f"), (2, "q a c b d e f"), (3, "f e d c b a")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a b c d e")], "item_id long, text string")
