@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfsight import config
 from shelfsight.operators import budget, model, quantile_regression
+from shelfsight.session import stage
 
 ESTIMATES = "peer_ceiling double, quantile_regression double, unconstrained_extrapolation double"
 
@@ -161,6 +162,37 @@ def test_quantile_fit_with_odd_rows(spark):
         quantile_regression.fit(twice, 0.9, rounds=2)
 
 
+@pytest.mark.parametrize("tau", [0.85, 0.9, 0.95, 0.99])
+def test_quantile_fit_settles_where_most_labels_lie_on_a_plane(spark, tau):
+    r = np.random.default_rng(11)
+    x = r.normal(size=(6000, 30)) ** 3
+    x[:, 20:] = (x[:, 20:] > 0.5).astype(float)
+    y = 200 + 60 * x[:, 0] + np.where(r.random(6000) < 0.02, r.normal(20, 60, 6000), 0.0)
+    rows_ = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "features array<double>, label double")
+    found = quantile_regression.fit(rows_, tau)
+    assert found.gap <= 1e-6 * y.std() and found.weights[0] == pytest.approx(60, rel=0.01)
+
+
+@pytest.mark.parametrize("tau", [0.5, 0.9])
+def test_quantile_fit_of_more_rows_than_the_driver_holds(spark, monkeypatch, tau):
+    r = np.random.default_rng(13)
+    x = r.normal(size=(8000, 3))
+    y = 5 + 2 * x[:, 0] + r.exponential(3, 8000) * (1 + 0.5 * np.abs(x[:, 1]))
+    y[:2000] = 5 + 2 * x[:2000, 0]
+    schema = "features array<double>, label double"
+    rows_ = stage(spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], schema).repartition(5), "fit")
+    whole = quantile_regression.fit(rows_, tau)
+    monkeypatch.setattr(quantile_regression, "HELD_BYTES", 20_000)
+    held, solve = [], quantile_regression._solve
+    monkeypatch.setattr(quantile_regression, "_solve", lambda x, *rest: held.append(len(x)) or solve(x, *rest))
+    parts = quantile_regression.fit(rows_, tau)
+    assert len(held) > 1 and max(held) < 1500
+    own = y - parts.intercept - x @ parts.weights
+    assert parts.loss == pytest.approx(np.maximum(tau * own, (tau - 1) * own).mean() + 0.001 * np.abs(parts.weights).sum())
+    assert parts.gap <= 1e-6 * y.std() and parts.loss == pytest.approx(whole.loss, abs=2e-6 * y.std())
+    assert parts.loss - parts.gap <= whole.loss + 1e-9
+
+
 def test_quantile_regression_covers_tau(synthetic):
     est = quantile_regression.estimate(synthetic, tau=0.9)
     scored = synthetic.join(est, "outlet_id")
