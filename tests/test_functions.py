@@ -16,6 +16,25 @@ def interpolated(values, p):
     return low + (high - low) * (r - math.floor(r))
 
 
+def test_column_summaries(spark):
+    rng = random.Random(3)
+    make = [
+        lambda: rng.gauss(1e6, 1), lambda: float(rng.randint(0, 3)), lambda: 0.0 if rng.random() < 0.6 else rng.expovariate(1), lambda: 0.1,
+        lambda: rng.choice([None, float("nan"), rng.random()]), lambda: None, lambda: rng.random() if rng.random() < 0.001 else None, lambda: rng.paretovariate(0.7),
+    ]
+    data = [[f() for f in make] for _ in range(40_001)]
+    names = [f"c{i}" for i in range(len(make))]
+    df = spark.createDataFrame(data, ", ".join(f"{n} double" for n in names)).repartition(3)
+    for frame_, given in ((df, data), (df.where("false"), []), (spark.createDataFrame(data[:4], df.schema), data[:4])):
+        for i, got in enumerate(Q.column_summaries(frame_, [F.col(n) for n in names])):
+            there = [r[i] for r in given if r[i] is not None and not math.isnan(r[i])]
+            assert (got.n, got.missing) == (len(there), len(given) - len(there))
+            assert got.median == (statistics.median(there) if there else None)
+            if there:
+                full = there + [got.median] * got.missing
+                assert got.filled() == pytest.approx((statistics.fmean(full), statistics.pstdev(full)), rel=1e-9, abs=1e-12)
+
+
 @pytest.mark.parametrize("shape", ["continuous", "ties", "one_hot_value", "constant"])
 @pytest.mark.parametrize("accuracy", [100, 100_000])
 def test_exact_quantiles(spark, shape, accuracy):

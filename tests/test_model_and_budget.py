@@ -193,6 +193,18 @@ def test_quantile_fit_of_more_rows_than_the_driver_holds(spark, monkeypatch, tau
     assert parts.loss - parts.gap <= whole.loss + 1e-9
 
 
+def test_quantile_fit_reads_its_rows_a_few_times(spark):
+    r = np.random.default_rng(17)
+    x = r.normal(size=(2000, 4))
+    rows_ = stage(spark.createDataFrame([(a.tolist(), float(a[0] + b)) for a, b in zip(x, r.exponential(1, 2000))], "features array<double>, label double"), "fit")
+    spark.sparkContext.setJobGroup("quantile_fit", "")
+    try:
+        quantile_regression.fit_all(rows_, [0.5, 0.9])
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("quantile_fit")) <= 6
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_quantile_regression_covers_tau(synthetic):
     est = quantile_regression.estimate(synthetic, tau=0.9)
     scored = synthetic.join(est, "outlet_id")
