@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
+from itertools import groupby
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from shelfsight import config
@@ -155,21 +158,76 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), alike)
 
 
-# A file is hashed as one value, which Spark limits to 2 GiB.
-HASH_LIMIT_BYTES = 2_000_000_000
+_MARK = b"\xef\xbb\xbf"
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """``path, bytes, sha256`` of every file; each file is hashed in its own task.
+    """``path, bytes, sha256`` of every file of any size; each file is hashed in one task, line by line.
 
-    A larger file than a value can hold has no hash; export it in parts to get them.
+    Spark's reader of lines hands over their bytes as they are. It takes away the
+    line feeds and a byte order mark, which the length of the file tells apart,
+    and unpacks compressed files, so each suffix is read as one that stands for
+    no compression. Such files are not cut either, and come in order.
     """
-    files = spark.read.format("binaryFile").load(path)
-    small, large = F.col("length") <= HASH_LIMIT_BYTES, F.col("length") > HASH_LIMIT_BYTES
-    hashed = files.where(small).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-    return hashed.unionByName(
-        files.where(large).select("path", F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256"))
-    )
+    files = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.col("_metadata.file_path").alias("_file"))
+    suffix = F.regexp_extract("path", r"(\.[^./]*)$", 1)
+    hashed = []
+    for (ending,) in files.select(suffix).distinct().collect():
+        reader = spark.read.option("lineSep", "\n").option("io.compression.codecs", "org.apache.hadoop.io.compress.PassthroughCodec")
+        # Spark's build of Hadoop has the second name for the first.
+        for name in ("io.compress.passthrough.extension", "org.apache.hadoop.shaded.io.compress.passthrough.extension"):
+            reader = reader.option(name, ending or ".")
+        if ending:
+            reader = reader.option("pathGlobFilter", "*" + re.sub(r"([*?\[\]{}\\,^])", r"\\\1", ending))
+        lines = reader.text(path).select(
+            F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start"),
+            F.regexp_extract("_metadata.file_name", r"(\.[^./]*)$", 1).alias("ending"), F.col("value").cast("binary").alias("line"),
+        )
+        if not ending:
+            # Only names without a suffix may be cut; their parts are put in order.
+            lines = lines.where("ending = ''").withColumn("at", F.monotonically_increasing_id())
+            lines = lines.repartition("_file").sortWithinPartitions("_file", "start", "at")
+        hashed.append(lines.select("_file", "size", "line").mapInArrow(_hashed, "_file string, sha256 string"))
+    if not hashed:
+        return files.select("path", "bytes", F.lit(None).cast("string").alias("sha256"))
+    # A file of nothing but the mark has no line.
+    only = F.when(F.col("bytes") == len(_MARK), F.lit(hashlib.sha256(_MARK).hexdigest()))
+    missed = F.raise_error(F.concat(F.lit("not hashed: "), "path")).cast("string")
+    found = files.join(reduce(lambda a, b: a.unionByName(b), hashed), "_file", "left")
+    return found.select("path", "bytes", F.coalesce("sha256", only, missed).alias("sha256"))
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of files from their lines in order; those of one file stand together."""
+    file, size, got, plain, marked = None, 0, 0, None, None
+
+    def finished() -> pa.RecordBatch:
+        left = size - got
+        if left not in (0, 1, 3, 4):
+            raise ValueError(f"{got} bytes of lines in the {size} bytes of {file}")
+        found = marked if left >= 3 else plain
+        if left % 3:
+            found.update(b"\n")
+        return pa.RecordBatch.from_arrays([pa.array([file]), pa.array([found.hexdigest()])], ["_file", "sha256"])
+
+    for batch in batches:
+        lines = batch.column("line").to_pylist()
+        start = 0
+        for (name, length), same in groupby(zip(batch.column("_file").to_pylist(), batch.column("size").to_pylist())):
+            stop = start + sum(1 for _ in same)
+            part = b"\n".join(lines[start:stop])
+            start = stop
+            if name == file:
+                part = b"\n" + part
+            else:
+                if file is not None:
+                    yield finished()
+                file, size, got, plain, marked = name, length, 0, hashlib.sha256(), hashlib.sha256(_MARK)
+            got += len(part)
+            plain.update(part)
+            marked.update(part)
+    if file is not None:
+        yield finished()
 
 
 # ---------------------------------------------------------------------------

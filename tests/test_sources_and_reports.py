@@ -1,5 +1,7 @@
+import bz2
 import csv
 import datetime
+import gzip
 import hashlib
 import io
 import random
@@ -131,6 +133,25 @@ def test_optional_tables_and_hashes(spark, tmp_path):
     assert h.sha256 == hashlib.sha256(b"abc").hexdigest() and h.bytes == 3
 
 
+def test_file_hashes_hold_no_file_as_one_value(spark, tmp_path):
+    noise = random.Random(5).randbytes(200_000)
+    contents = {
+        "noise.bin": noise, "ends.bin": noise + b"\n", "crlf.csv": b"\xef\xbb\xbfa,b\r\n1,2\r\n", "mark.csv": b"\xef\xbb\xbfx", "packed.gz": gzip.compress(noise),
+        "packed.csv.bz2": bz2.compress(noise), "bare": noise, "feeds": b"\n" * 70_000, "only_mark": b"\xef\xbb\xbf", "zeros.x": bytes(50_000), "two words.parquet": noise[:70_000],
+    }
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.sources.binaryFile.maxLength", "spark.sql.files.maxPartitionBytes")}
+    try:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        got = {r.path.split("/")[-1]: (r.bytes, r.sha256) for r in files.file_hashes(spark, str(tmp_path)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items()}
+
+
 def test_quarantine_keeps_earlier_runs(spark, frame, tmp_path):
     path = str(tmp_path / "q")
     files.append_quarantine(frame("a int, _dataset string", (1, "x")), path, "r1")
