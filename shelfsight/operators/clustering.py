@@ -1,0 +1,174 @@
+"""K-means for any number of rows: Lloyd's rounds over all of them, few passes.
+
+A row is settled for a while if its nearest centre is nearer than any other by
+more than the centres have moved since. Settled rows enter a round as sums by
+centre; only the others, as many as fit into a stated memory, are looked at again
+in each round, on the driver. The centres are those that rounds over all rows
+give. Once they have moved too far, two more passes tell anew which rows are
+settled. The first centres come from a part of the rows, where there are more
+than the driver holds; they decide where the rounds start.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+
+# What the driver holds of the rows at once.
+HELD_BYTES = 64_000_000
+
+# Centres that move no further are settled, as in Spark ML.
+TOLERANCE = 1e-4
+
+# Leads of the nearest centre are told apart by these powers of 2, eight to each.
+_LEAST, _BINS = -20, 240
+
+
+@dataclass(frozen=True)
+class Clustering:
+    """``cost`` is the sum of the squared distances of all rows to their centres."""
+
+    centres: np.ndarray
+    cost: float
+    rounds: int
+    settled: bool
+
+    def assign(self, rows: DataFrame) -> DataFrame:
+        """``outlet_id, peer_cluster`` for rows with ``outlet_id`` and ``features``."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = _squares(_numbers(batch), self.centres).argmin(axis=1) if batch.num_rows else np.empty(0)
+                yield pa.RecordBatch.from_arrays([batch.column("outlet_id"), pa.array(own.astype(np.int32))], ["outlet_id", "peer_cluster"])
+
+        schema = T.StructType([rows.schema["outlet_id"], T.StructField("peer_cluster", T.IntegerType())])
+        return rows.select("outlet_id", "features").mapInArrow(run, schema)
+
+
+def _numbers(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
+    features = batch.column("features")
+    flat = features.combine_chunks() if isinstance(features, pa.ChunkedArray) else features
+    return flat.flatten().to_numpy().reshape(batch.num_rows, -1)
+
+
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows to all centres."""
+    return np.maximum((x * x).sum(axis=1)[:, None] - 2 * (x @ centres.T) + (centres * centres).sum(axis=1), 0.0)
+
+
+def _leads(squares: np.ndarray) -> np.ndarray:
+    """By how much the nearest centre is nearer than any other, as a number of ``_BINS``."""
+    if squares.shape[1] == 1:
+        return np.full(len(squares), _BINS - 1)
+    two = np.sqrt(np.partition(squares, 1, axis=1)[:, :2])
+    return np.clip(np.floor(8 * np.log2(two[:, 1] - two[:, 0] + 1e-300)) - 8 * _LEAST, 0, _BINS - 1).astype(int)
+
+
+def _survey(rows: DataFrame, centres: np.ndarray) -> tuple[float, np.ndarray]:
+    """(cost, rows by lead)"""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 + _BINS)
+        for batch in batches:
+            if batch.num_rows:
+                squares = _squares(_numbers(batch), centres)
+                total[0] += squares.min(axis=1).sum()
+                total[1:] += np.bincount(_leads(squares), minlength=_BINS)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["found"])
+
+    each = rows.select("features").mapInArrow(run, "found array<double>").select(F.posexplode("found").alias("at", "v"))
+    found = dict(each.groupBy("at").agg(F.sum("v").alias("total")).collect())
+    return found[0], np.array([found[i + 1] for i in range(_BINS)])
+
+
+def _gather(rows: DataFrame, centres: np.ndarray, upto: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows with a lead below ``upto``, sums and counts of the others by centre)"""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(centres), centres.shape[1] + 1))
+        for batch in batches:
+            if batch.num_rows:
+                x = _numbers(batch)
+                squares = _squares(x, centres)
+                near = _leads(squares) < upto
+                settled = np.column_stack([x, np.ones(len(x))])[~near]
+                sums += (squares.argmin(axis=1)[~near] == np.arange(len(centres))[:, None]).astype(float) @ settled
+                yield _rows(np.full(int(near.sum()), -1), np.column_stack([x, np.ones(len(x))])[near])
+        yield _rows(np.arange(len(centres)), sums)
+
+    found = rows.select("features").mapInArrow(run, "part int, features array<double>").toArrow()
+    part, x = found.column("part").to_numpy(), _numbers(found)
+    sums = np.zeros((len(centres), centres.shape[1] + 1))
+    np.add.at(sums, part[part >= 0], x[part >= 0])
+    return x[part < 0, :-1], sums[:, :-1], sums[:, -1]
+
+
+def _rows(part: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
+    return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(x.ravel()))], ["part", "features"])
+
+
+def _rounds(x: np.ndarray, centres: np.ndarray, sums: np.ndarray, counts: np.ndarray, room: float, most: int, tolerance: float) -> tuple[np.ndarray, int, bool]:
+    """(centres, rounds, settled) while no centre has moved by more than half of ``room``."""
+    first, taken = centres, 0
+    while taken < most and 2 * np.sqrt(((centres - first) ** 2).sum(axis=1)).max() <= room:
+        nearest = ((centres * centres).sum(axis=1) - 2 * (x @ centres.T)).argmin(axis=1)
+        own = (nearest == np.arange(len(centres))[:, None]).astype(float)
+        n = counts + own.sum(axis=1)
+        moved = np.where(n[:, None] > 0, (sums + own @ x) / np.maximum(n, 1)[:, None], centres)
+        by = np.sqrt(((moved - centres) ** 2).sum(axis=1)).max()
+        centres, taken = moved, taken + 1
+        if by <= tolerance:
+            return centres, taken, True
+    return centres, taken, False
+
+
+def _apart(x: np.ndarray, k: int, chance: np.random.Generator) -> np.ndarray:
+    """Up to ``k`` different rows, each drawn by its squared distance from those before."""
+    picked = [x[chance.integers(len(x))]]
+    far = _squares(x, picked[0][None])[:, 0]
+    while len(picked) < k and (far > 1e-12 * (1 + (x * x).sum(axis=1))).any():
+        picked.append(x[chance.choice(len(x), p=far / far.sum())])
+        far = np.minimum(far, _squares(x, picked[-1][None])[:, 0])
+    return np.array(picked)
+
+
+def _over_rows(rows: DataFrame, centres: np.ndarray, most: int, rounds: int, tolerance: float) -> tuple[np.ndarray, int, bool]:
+    """Rounds over all rows of a table."""
+    taken, settled = 0, False
+    while taken < rounds and not settled:
+        last = int(np.searchsorted(np.cumsum(_survey(rows, centres)[1]), most, side="right"))
+        # With too many rows at the least lead none is held, and the turn is one round.
+        x, sums, counts = _gather(rows, centres, last)
+        room = np.inf if last == _BINS else 2.0 ** (last / 8 + _LEAST) if last else 0.0
+        centres, more, settled = _rounds(x, centres, sums, counts, room, rounds - taken, tolerance)
+        taken += more
+    return centres, taken, settled
+
+
+def fit_all(rows: DataFrame, k: int, seeds: Sequence[int], rounds: int) -> list[Clustering]:
+    """A clustering of ``features``, an array of numbers, into ``k`` groups at most for each seed; ``rows`` should be a written table."""
+    about = rows.agg(F.count("*").alias("n"), F.max(F.size("features")).alias("width")).first()
+    most = max(20 * k, HELD_BYTES // (8 * about.width))
+    held = _numbers((rows if about.n <= most else rows.where(F.rand(1) < most / about.n)).select("features").toArrow())
+    # The same rows give the same draws, in whatever order they come.
+    held = held[np.lexsort((held[:, 0], held @ np.random.default_rng(0).normal(size=held.shape[1])))]
+    found = []
+    for seed in seeds:
+        centres = _apart(held, k, np.random.default_rng(seed))
+        none = np.zeros_like(centres)
+        whole = about.n <= most
+        centres, taken, settled = _rounds(held, centres, none, none[:, 0], np.inf, rounds, TOLERANCE if whole else 100 * TOLERANCE)
+        size = most
+        while not whole:
+            size = min(10 * size, about.n)
+            whole = size == about.n
+            part = rows if whole else rows.where(F.rand(2) < size / about.n)
+            centres, taken, settled = _over_rows(part, centres, most, rounds, TOLERANCE if whole else 100 * TOLERANCE)
+        cost = _squares(held, centres).min(axis=1).sum() if about.n <= most else _survey(rows, centres)[0]
+        found.append(Clustering(centres, float(cost), taken, settled))
+    return found

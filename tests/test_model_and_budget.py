@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shelfsight import config
-from shelfsight.operators import budget, model, quantile_regression
+from shelfsight.operators import budget, clustering, model, quantile_regression
 from shelfsight.session import stage
 
 ESTIMATES = "peer_ceiling double, quantile_regression double, unconstrained_extrapolation double"
@@ -117,6 +117,29 @@ def test_clusters(synthetic):
     assert {c for _, c in rows(model.peer_clusters(synthetic.limit(3), rules))} == {0}
 
 
+def test_clusters_of_more_rows_than_the_driver_holds(spark, monkeypatch):
+    r = np.random.default_rng(19)
+    x = r.normal(size=(6000, 4)) + 3 * r.integers(0, 3, size=(6000, 4))
+    rows_ = stage(spark.createDataFrame([(str(i), a.tolist()) for i, a in enumerate(x)], "outlet_id string, features array<double>").repartition(4), "peer_features")
+    (whole,) = clustering.fit_all(rows_, 6, [1], 300)
+    monkeypatch.setattr(clustering, "HELD_BYTES", 32 * 800)
+    held, rounds = [], clustering._rounds
+    monkeypatch.setattr(clustering, "_rounds", lambda x, *rest: held.append(len(x)) or rounds(x, *rest))
+    spark.sparkContext.setJobGroup("clusters", "")
+    try:
+        (parts,) = clustering.fit_all(rows_, 6, [1], 300)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("clusters")) < 200
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(held) < 1000 and whole.settled and parts.settled
+    own = dict(rows(parts.assign(rows_)))
+    own = np.array([own[str(i)] for i in range(len(x))])
+    middles = np.array([x[own == c].mean(axis=0) for c in range(6)])
+    # Settled: the centres are the middles of their rows, as a round over all rows leaves them.
+    assert np.abs(middles - parts.centres).max() < 1e-3
+    assert parts.cost == pytest.approx(((x - parts.centres[own]) ** 2).sum()) and parts.cost < 1.1 * whole.cost
+
+
 def vertex_optimum(x, y, tau, l1):
     """The least penalised loss: some optimum has as many zeros among residuals and weights as there are unknowns."""
     n, p = len(y), x.shape[1] + 1
